@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallytide.operators.aggregates import keyed_totals
-from tallytide.operators.sizing import key_list, lookup_join, settle
+from tallytide.operators.sizing import Settled, key_list, lookup_join, settle
 
 
 def attach_metadata(
     long: DataFrame,
-    metadata: DataFrame,
+    metadata: DataFrame | Settled,
     sample: str = "sample_id",
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add sample columns to long counts; samples unknown to the metadata drop out."""
-    side = metadata if columns is None else metadata.select(sample, *columns)
-    return lookup_join(long, side, sample)
+    if columns is not None and isinstance(metadata, DataFrame):
+        metadata = metadata.select(sample, *columns)
+    return lookup_join(long, metadata, sample)
 
 
 def filter_low_count(
@@ -83,9 +84,12 @@ def attach_labels(
     return lookup_join(df, labels.select(entity, label), entity)
 
 
-def restrict_to(df: DataFrame, ids: DataFrame, key: str | Sequence[str] = "gene_id") -> DataFrame:
+def restrict_to(
+    df: DataFrame, ids: DataFrame | Settled, key: str | Sequence[str] = "gene_id"
+) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``ids``; duplicate ids do not repeat rows."""
-    return lookup_join(df, ids.select(*key_list(key)), key, "left_semi")
+    listed = ids if isinstance(ids, Settled) else ids.select(*key_list(key))
+    return lookup_join(df, listed, key, "left_semi")
 
 
 def present_samples(
@@ -103,6 +107,6 @@ def missing_samples(
     return lookup_join(ids, present.select(sample), sample, "left_anti")
 
 
-def settled_ids(df: DataFrame, *columns: str) -> DataFrame:
+def settled_ids(df: DataFrame, *columns: str) -> Settled:
     """A small id list computed once, for use by several later steps."""
-    return settle(df.select(*columns))[0]
+    return settle(df.select(*columns))

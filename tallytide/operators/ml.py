@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -70,6 +71,9 @@ def sample_coordinates(
     )
 
 
+ROWS_PER_PARTITION = 50_000
+
+
 def cluster_entities(
     df: DataFrame,
     key: str = "gene_id",
@@ -82,13 +86,13 @@ def cluster_entities(
     """K-means label per entity.
 
     The seeding draws by partition and row order, so rows are first hashed into ``layout``
-    partitions (default: the session's shuffle partitions) and sorted there. Labels then depend on
-    the data, the seed and that number, not on how the input happened to be split. The settled
-    input is read once per iteration.
+    partitions and sorted there; by default their number follows from the number of rows. Labels
+    then depend on the data and the seed, not on the session or on how the input was split.
     """
-    n = layout or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows, _ = settle(df.select(key, vector).repartition(n, key).sortWithinPartitions(key))
-    model = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol=out).fit(rows)
+    rows = settle(df.select(key, vector)).table
+    n = layout or max(1, math.ceil(rows.count() / ROWS_PER_PARTITION))
+    placed = rows.repartition(n, key).sortWithinPartitions(key)
+    model = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol=out).fit(placed)
     return model.transform(rows)
 
 

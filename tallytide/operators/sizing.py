@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import tempfile
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,13 @@ _SPLITS = "__splits"
 _PART = "__part"
 
 
+class Settled(NamedTuple):
+    """A table computed once, with its measured size."""
+
+    table: DataFrame
+    bytes: float
+
+
 def key_list(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
@@ -56,19 +64,21 @@ def _row_bytes(df: DataFrame) -> Column | None:
     return total
 
 
-def settle(df: DataFrame) -> tuple[DataFrame, float]:
-    """Compute ``df`` once into a checkpoint; returns it with its measured size in bytes.
+def settle(df: DataFrame | Settled) -> Settled:
+    """Compute ``df`` once into a checkpoint and measure it on the way.
 
     The size is observed while the checkpoint is written, so measuring costs no job of its own.
     The result has no lineage left to recompute when an executor is lost.
     """
+    if isinstance(df, Settled):
+        return df
     shared_dir(df.sparkSession)
     width = _row_bytes(df)
     if width is None:
-        return df.checkpoint(), math.inf
+        return Settled(df.checkpoint(), math.inf)
     seen = Observation()
     table = df.observe(seen, F.sum(width).alias("bytes")).checkpoint()
-    return table, seen.get["bytes"] or 0
+    return Settled(table, seen.get["bytes"] or 0)
 
 
 def heavy_keys(weights: DataFrame, keys: Sequence[str], rows: str, partitions: int) -> DataFrame:
@@ -101,9 +111,9 @@ def split_join(
     keys = key_list(on)
     spark = fact.sparkSession
     if weights is None:
-        weights, _ = settle(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows)))
+        weights = settle(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows))).table
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    heavy, _ = settle(heavy_keys(weights, keys, rows, partitions))
+    heavy = settle(heavy_keys(weights, keys, rows, partitions)).table
     if heavy.isEmpty():
         return fact.join(side, keys, how)
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
@@ -120,7 +130,7 @@ def split_join(
 
 def lookup_join(
     fact: DataFrame,
-    side: DataFrame,
+    side: DataFrame | Settled,
     on: str | Sequence[str],
     how: str = "inner",
     rows: str | None = None,
@@ -129,7 +139,8 @@ def lookup_join(
     """Join ``fact`` to a side table: broadcast if it measures small, else ``split_join``.
 
     ``rows`` names a column of ``side`` that already holds the number of fact rows per key, which
-    spares the count of heavy keys; it is not part of the result. Runs one job to settle the side.
+    spares the count of heavy keys; it is not part of the result. A side that is not settled yet
+    costs one job.
     """
     keys = key_list(on)
     limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes

@@ -58,7 +58,7 @@ def heat_matrix(
     changes: DataFrame, n: int = 50, entity: str = "gene_id", t: str = "hours"
 ) -> DataFrame:
     """Entity by time table of the n most changed entities, times in order; gaps stay null."""
-    table, _ = settle(changes.select(entity, t, "log2fc"))
+    table = settle(changes.select(entity, t, "log2fc")).table
     rows = restrict_to(table, top_changed(table, n, entity), entity)
     times = [row[0] for row in time_axis(table, t).collect()]
     return pivot_values(rows, [entity], t, times, "log2fc", F.avg)

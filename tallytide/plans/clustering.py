@@ -34,12 +34,12 @@ def time_profiles(
     ``center`` subtracts each entity's own mean over its times, so that shape and not level
     decides the distance between two entities.
     """
-    index, _ = settle(feature_index(times.select(t), t, [F.col(t)]))
+    index = settle(feature_index(times.select(t), t, [F.col(t)]))
     means = mean_by_time(normalized, entity, t, value, out="mean_expr")
     if center:
         own = F.avg("mean_expr").over(Window.partitionBy(entity))
         means = means.withColumn("mean_expr", F.col("mean_expr") - own)
-    return long_to_vector(means, [entity], t, "mean_expr", index, index.count())
+    return long_to_vector(means, [entity], t, "mean_expr", index, index.table.count())
 
 
 def cluster_time_profiles(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallytide.operators.joins import attach_metadata
 from tallytide.operators.quality import require_unique
 from tallytide.operators.reshape import clean_counts, melt_matrix, select_known_samples
+from tallytide.operators.sizing import Settled, settle
 from tallytide.sources.readers import read_count_matrix, read_sample_metadata, read_table
 from tallytide.sources.writers import write_table
 
@@ -17,7 +18,7 @@ SAMPLE_COLUMNS = ("hours", "time_point", "replicate", "time_label")
 
 def ingest_long(
     long: DataFrame,
-    metadata: DataFrame,
+    metadata: DataFrame | Settled,
     sample: str = "sample_id",
     count: str = "raw_count",
     columns: Sequence[str] = SAMPLE_COLUMNS,
@@ -40,12 +41,13 @@ def ingest(
     Keys are checked on the two inputs, where that reads one row per entity and one per sample;
     together with distinct column names this makes (entity, sample) unique in the result.
     """
+    samples = settle(metadata.select(sample, *columns))
     if check_keys:
-        require_unique(metadata, sample, "metadata")
+        require_unique(samples.table, sample, "metadata")
         require_unique(matrix, entity, "matrix")
-    known = select_known_samples(matrix, metadata, entity, sample)
+    known = select_known_samples(matrix, samples.table, entity, sample)
     long = melt_matrix(known, entity, None, sample, count)
-    return ingest_long(long, metadata, sample, count, columns)
+    return ingest_long(long, samples, sample, count, columns)
 
 
 def ingest_files(

@@ -29,8 +29,8 @@ def sample_vectors(
     value: str = "log2_cpm",
 ) -> DataFrame:
     """One vector per sample over the listed entities, slots in id order, gaps 0."""
-    index, _ = settle(feature_index(ids.select(entity), entity, [F.col(entity)]))
-    return long_to_vector(normalized, keys, entity, value, index, index.count())
+    index = settle(feature_index(ids.select(entity), entity, [F.col(entity)]))
+    return long_to_vector(normalized, keys, entity, value, index, index.table.count())
 
 
 def sample_pca(
@@ -50,7 +50,7 @@ def sample_pca(
     on the driver, which is why features are chosen first.
     """
     chosen = top_variable(normalized, n_features, entity, keys[0], value) if ids is None else ids
-    vectors, _ = settle(sample_vectors(normalized, chosen, keys, entity, value))
+    vectors = settle(sample_vectors(normalized, chosen, keys, entity, value)).table
     scaled = standardize_vectors(vectors).drop("features")
     model, ratios = fit_pca(scaled, "scaled_features", k)
     return PcaResult(sample_coordinates(model, scaled, axes, keys), ratios, model)

@@ -14,7 +14,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallytide.operators.layout import rebalance
 from tallytide.operators.sizing import shared_dir
 from tallytide.plans import normalize
 from tallytide.sources import read_table, write_table
@@ -28,16 +27,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def _stage(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
-) -> DataFrame:
-    """A stage table, written to the shared folder on first use in an application."""
+def stage_path(
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]
+) -> str:
+    """The path of a stage file, written to the shared folder on first use in an application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stages:
         path = scratch_path(spark, name)
-        write_table(rebalance(build()), path)
+        write(path)
         _stages[key] = path
-    return read_table(spark, _stages[key])
+    return _stages[key]
 
 
 def forget_stages() -> None:
@@ -71,12 +70,21 @@ def build_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(counts(spark, sf_dir), MIN_TOTAL, count="n", keep=("hrs", "rep"))
 
 
+def _stage(
+    spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    path = stage_path(
+        spark, sf_dir, build.__name__, lambda to: write_table(build(spark, sf_dir), to)
+    )
+    return read_table(spark, path)
+
+
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stage(spark, sf_dir, "counts", lambda: build_counts(spark, sf_dir))
+    return _stage(spark, sf_dir, build_counts)
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stage(spark, sf_dir, "normalized", lambda: build_normalized(spark, sf_dir))
+    return _stage(spark, sf_dir, build_normalized)
 
 
 def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

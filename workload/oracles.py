@@ -92,7 +92,9 @@ vl AS (
 
 
 def with_(ctes: str, body: str) -> str:
-    return f"WITH RECURSIVE {ctes.strip()}\n{body}"
+    """A query; a body that starts with a comma goes on listing CTEs."""
+    body = body.strip()
+    return f"WITH RECURSIVE {ctes.strip()}" + (body if body[0] == "," else "\n" + body)
 
 
 def r6(expression: str, name: str) -> str:
@@ -248,11 +250,12 @@ FROM w UNPIVOT INCLUDE NULLS (v FOR k IN ("A", "N", "R"))""",
     ),
     "melt_with_gaps": with_(
         C,
-        """, g AS (SELECT DISTINCT gene_id FROM c)
+        """,
+g AS (SELECT DISTINCT gene_id FROM c)
 SELECT g.gene_id, CAST(t AS VARCHAR) AS hrs, CAST(SUM(n) AS BIGINT) AS n
 FROM g CROSS JOIN range(7) AS r(t)
 LEFT JOIN c ON c.gene_id = g.gene_id AND c.hrs = t GROUP BY ALL""",
-    ).replace(")\n, g AS", "),\ng AS"),
+    ),
     "pivot_samples": with_(
         Z,
         f"""SELECT sample_id, hrs, rep, CAST(gene_id AS VARCHAR) AS gene_id, {r6("val", "value")}
@@ -458,7 +461,7 @@ ab AS (
 )
 SELECT {r6("AVG(CASE WHEN size = 1 THEN 0.0 ELSE (b - a) / GREATEST(a, b) END)", "silhouette")}
 FROM ab""",
-    ).replace(")\n,\nsizes", "),\nsizes"),
+    ),
     # ---- pipelines
     "ingest": with_(
         C,
@@ -531,7 +534,7 @@ h AS (SELECT hrs, CAST(ROW_NUMBER() OVER (ORDER BY hrs) - 1 AS INTEGER) AS slot
       FROM (SELECT DISTINCT hrs FROM means))
 SELECT g.gene_id, h.slot, {r6("COALESCE(m, 0.0)", "value")}
 FROM g CROSS JOIN h LEFT JOIN means ON means.gene_id = g.gene_id AND means.hrs = h.hrs""",
-    ).replace(")\n,\ng AS", "),\ng AS"),
+    ),
     "time_profiles_centered": with_(
         MEANS,
         f""",
@@ -540,7 +543,7 @@ h AS (SELECT hrs, CAST(ROW_NUMBER() OVER (ORDER BY hrs) - 1 AS INTEGER) AS slot
       FROM (SELECT DISTINCT hrs FROM means))
 SELECT g.gene_id, h.slot, {r6("COALESCE(m - own, 0.0)", "value")}
 FROM g CROSS JOIN h LEFT JOIN means ON means.gene_id = g.gene_id AND means.hrs = h.hrs""",
-    ).replace(")\n,\ng AS", "),\ng AS"),
+    ),
     "fold_change_for": with_(
         FC + ",\n" + TOP[len(X) + 2 :].strip(),
         f"""SELECT gene_id, hrs, {r6("m", "mean_log2_cpm")}, {r6("ctrl", "ctrl_expr")},

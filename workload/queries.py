@@ -62,27 +62,30 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def metadata_csv(spark: SparkSession, sf: str) -> str:
-    path = fx.scratch_path(spark, "metadata")
-    named = fx.sample_table(spark, sf).select(
-        F.concat(F.lit("fly "), "sample_id").alias("sample"),
-        F.col("rep").alias("replicate"),
-        (F.col("hrs") + 1).alias("time"),
-        F.col("hrs").alias("hours"),
-        F.concat(F.col("hrs").cast("string"), F.lit(" h")).alias("time_label"),
-        F.col("sample_id").alias("sample_ID"),
-    )
-    write_result(named, path)
-    return path
+    def write(path: str) -> None:
+        named = fx.sample_table(spark, sf).select(
+            F.concat(F.lit("fly "), "sample_id").alias("sample"),
+            F.col("rep").alias("replicate"),
+            (F.col("hrs") + 1).alias("time"),
+            F.col("hrs").alias("hours"),
+            F.concat(F.col("hrs").cast("string"), F.lit(" h")).alias("time_label"),
+            F.col("sample_id").alias("sample_ID"),
+        )
+        write_result(named, path)
+
+    return fx.stage_path(spark, sf, "metadata_csv", write)
 
 
 def matrix_csv(spark: SparkSession, sf: str) -> str:
     """The counts as a wide CSV with one column per sample and blank cells for gaps."""
-    path = fx.scratch_path(spark, "matrix")
-    counts = fx.counts(spark, sf)
-    samples = [r[0] for r in rk.ordered(st.distinct_values(counts, ["sample_id"]), ["sample_id"]).collect()]
-    wide = rs.pivot_values(counts, ["gene_id"], "sample_id", samples, "n")
-    write_result(wide.withColumnRenamed("gene_id", ""), path)
-    return path
+
+    def write(path: str) -> None:
+        counts = fx.counts(spark, sf)
+        names = rk.ordered(st.distinct_values(counts, ["sample_id"]), ["sample_id"]).collect()
+        wide = rs.pivot_values(counts, ["gene_id"], "sample_id", [r[0] for r in names], "n")
+        write_result(wide.withColumnRenamed("gene_id", ""), path)
+
+    return fx.stage_path(spark, sf, "matrix_csv", write)
 
 
 @query
@@ -226,7 +229,7 @@ def pivot_samples(spark, sf):
     """The sample by entity matrix of the 100 most variable entities, melted back to rows."""
     x = fx.normalized(spark, sf)
     top = jn.settled_ids(rk.top_variable(x, 100), "gene_id")
-    ids = [r[0] for r in rk.ordered(top, ["gene_id"]).collect()]
+    ids = [r[0] for r in rk.ordered(top.table, ["gene_id"]).collect()]
     matrix = rs.pivot_samples(jn.restrict_to(x, top), ids, KEYS)
     long = matrix.unpivot(list(KEYS), [str(i) for i in ids], "gene_id", "value")
     return tidy(long, "value")
