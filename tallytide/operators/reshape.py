@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallytide.functions import element, quoted, to_count
 from tallytide.operators.joins import present_samples
-from tallytide.operators.sizing import Settled, lookup_join
+from tallytide.operators.sizing import Settled, broadcast_join, lookup_join
 
 
 def project(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -31,8 +31,8 @@ def select_known_samples(
     than the header, however many samples the metadata lists.
     """
     candidates = [c for c in matrix.columns if c != entity]
-    header = F.broadcast(present_samples(matrix.sparkSession, candidates, sample))
-    hits = metadata.select(sample).join(header, sample, "left_semi").distinct()
+    header = present_samples(matrix.sparkSession, candidates, sample)
+    hits = broadcast_join(metadata.select(sample), header, sample, "left_semi").distinct()
     known = {row[0] for row in hits.collect()}
     return matrix.select(
         F.col(quoted(entity)), *[F.col(quoted(c)) for c in candidates if c in known]

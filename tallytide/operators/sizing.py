@@ -118,16 +118,45 @@ def split_join(
         return fact.join(side, keys, how)
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
     row_hash = F.xxhash64(*[F.col(quoted(c)) for c in fact.columns])
-    spread = fact.join(F.broadcast(heavy), keys, "left").withColumn(
+    spread = broadcast_join(fact, heavy, keys, "left").withColumn(
         _PART, F.pmod(row_hash, splits).cast("int")
     )
-    copies = side.join(F.broadcast(heavy), keys, "left").withColumn(
+    copies = broadcast_join(side, heavy, keys, "left").withColumn(
         _PART, F.explode(F.sequence(F.lit(0), splits - 1))
     )
     joined = spread.drop(_SPLITS).join(copies.drop(_SPLITS), [*keys, _PART], how)
     return joined.drop(_PART)
 
 
+def broadcast_join(
+    fact: DataFrame, side: DataFrame, on: str | Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Broadcast join that looks rows up by one long, whatever the key columns are.
+
+    Spark probes a table keyed by longs about ten times as fast as one keyed by text or by several
+    columns. Other keys are therefore hashed to a long for the lookup, and the keys themselves are
+    compared on the rows found, so two keys with one hash stay apart. The comparison is spelled as
+    a pair of bounds because an equality would become part of the lookup key again. Keys of two
+    different types would hash differently and are left to Spark.
+    """
+    keys = key_list(on)
+    types = [fact.schema[k].dataType for k in keys]
+    whole = len(keys) == 1 and isinstance(types[0], T.IntegralType)
+    if whole or types != [side.schema[k].dataType for k in keys]:
+        return fact.join(F.broadcast(side), keys, how)
+    theirs = {k: f"__key{i}" for i, k in enumerate(keys)}
+    probe = fact.withColumn("__hash", F.xxhash64(*[F.col(quoted(k)) for k in keys]))
+    build = side.withColumnsRenamed(theirs).withColumn("__side", F.xxhash64(*theirs.values()))
+    match = F.col("__hash") == F.col("__side")
+    for k in keys:
+        mine, other = F.col(quoted(k)), F.col(theirs[k])
+        match = match & (mine >= other) & (mine <= other)
+    joined = probe.join(F.broadcast(build), match, how).drop("__hash", "__side", *theirs.values())
+    return joined.select(*[quoted(k) for k in keys], *[
+        quoted(c) for c in joined.columns if c not in keys
+    ])
+
+
 def lookup_join(
     fact: DataFrame,
     side: DataFrame | Settled,
@@ -147,6 +176,6 @@ def lookup_join(
     table, size = settle(side)
     slim = table.drop(rows) if rows else table
     if size <= limit:
-        return fact.join(F.broadcast(slim), keys, how)
+        return broadcast_join(fact, slim, keys, how)
     weights = table.select(*keys, rows) if rows else None
     return split_join(fact, slim, keys, how, weights, rows or "n_rows")
