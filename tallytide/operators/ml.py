@@ -89,8 +89,8 @@ def cluster_entities(
     partitions and sorted there; by default their number follows from the number of rows. Labels
     then depend on the data and the seed, not on the session or on how the input was split.
     """
-    rows = settle(df.select(key, vector)).table
-    n = layout or max(1, math.ceil(rows.count() / ROWS_PER_PARTITION))
+    rows, _, count = settle(df.select(key, vector))
+    n = layout or max(1, math.ceil(count / ROWS_PER_PARTITION))
     placed = rows.repartition(n, key).sortWithinPartitions(key)
     model = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol=out).fit(placed)
     return model.transform(rows)

@@ -29,6 +29,7 @@ class Settled(NamedTuple):
 
     table: DataFrame
     bytes: float
+    rows: int
 
 
 def key_list(on: str | Sequence[str]) -> list[str]:
@@ -67,18 +68,22 @@ def _row_bytes(df: DataFrame) -> Column | None:
 def settle(df: DataFrame | Settled) -> Settled:
     """Compute ``df`` once into a checkpoint and measure it on the way.
 
-    The size is observed while the checkpoint is written, so measuring costs no job of its own.
-    The result has no lineage left to recompute when an executor is lost.
+    Size and row count are observed while the checkpoint is written, so measuring costs no job of
+    its own. The result has no lineage left to recompute when an executor is lost. A table with
+    nested or vector columns counts as too large to broadcast.
     """
     if isinstance(df, Settled):
         return df
     shared_dir(df.sparkSession)
     width = _row_bytes(df)
-    if width is None:
-        return Settled(df.checkpoint(), math.inf)
     seen = Observation()
-    table = df.observe(seen, F.sum(width).alias("bytes")).checkpoint()
-    return Settled(table, seen.get["bytes"] or 0)
+    table = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.lit(0) if width is None else width).alias("bytes"),
+    ).checkpoint()
+    size = math.inf if width is None else seen.get["bytes"] or 0
+    return Settled(table, size, seen.get["rows"])
 
 
 def heavy_keys(weights: DataFrame, keys: Sequence[str], rows: str, partitions: int) -> DataFrame:
@@ -113,8 +118,8 @@ def split_join(
     if weights is None:
         weights = settle(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows))).table
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    heavy = settle(heavy_keys(weights, keys, rows, partitions)).table
-    if heavy.isEmpty():
+    heavy, _, found = settle(heavy_keys(weights, keys, rows, partitions))
+    if not found:
         return fact.join(side, keys, how)
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
     row_hash = F.xxhash64(*[F.col(quoted(c)) for c in fact.columns])
@@ -173,7 +178,7 @@ def lookup_join(
     """
     keys = key_list(on)
     limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
-    table, size = settle(side)
+    table, size, _ = settle(side)
     slim = table.drop(rows) if rows else table
     if size <= limit:
         return broadcast_join(fact, slim, keys, how)

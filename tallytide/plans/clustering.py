@@ -39,7 +39,7 @@ def time_profiles(
     if center:
         own = F.avg("mean_expr").over(Window.partitionBy(entity))
         means = means.withColumn("mean_expr", F.col("mean_expr") - own)
-    return long_to_vector(means, [entity], t, "mean_expr", index, index.table.count())
+    return long_to_vector(means, [entity], t, "mean_expr", index, index.rows)
 
 
 def cluster_time_profiles(

@@ -30,7 +30,7 @@ def sample_vectors(
 ) -> DataFrame:
     """One vector per sample over the listed entities, slots in id order, gaps 0."""
     index = settle(feature_index(ids.select(entity), entity, [F.col(entity)]))
-    return long_to_vector(normalized, keys, entity, value, index, index.table.count())
+    return long_to_vector(normalized, keys, entity, value, index, index.rows)
 
 
 def sample_pca(

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallytide.functions import quoted, to_int
 
@@ -69,8 +70,9 @@ def read_count_matrix(spark: SparkSession, path: str, entity: str = "gene_id") -
     repeated = [c for c in names if seen[c if sensitive else c.lower()] > 1]
     if repeated:
         raise ValueError(f"{path}: repeated column names {repeated}")
-    raw = spark.read.csv(path, header=True, inferSchema=False)
-    return raw.toDF(entity, *raw.columns[1:])
+    labels = [entity, *[c or f"_c{i}" for i, c in enumerate(header[1:], start=1)]]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in labels])
+    return spark.read.schema(schema).csv(path, header=True)
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
