@@ -89,9 +89,12 @@ def main() -> None:
     for copies in COPIES:
         many = replicate_rows(rebalance(counts, int(CPUS)), copies)
         key = ["sample_id", "replica"]
-        took = median_seconds(
-            lambda many=many, key=key: drain(normalize(many, None, sample=key, count="n"))
-        )
+
+        def run(many: DataFrame = many, key: list[str] = key) -> None:
+            drain(normalize(many, None, sample=key, count="n"))
+
+        run()
+        took = median_seconds(run)
         scale[f"normalize_x{copies}"] = {
             "rows": base * copies,
             "sec": took,

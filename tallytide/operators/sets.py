@@ -17,6 +17,8 @@ def replicate_rows(df: DataFrame, n: int, out: str = "replica") -> DataFrame:
 
     Use ``(sample, replica)`` as the sample key afterwards, or copies share a library.
     """
+    if n < 1:
+        raise ValueError(f"need at least one copy, not {n}")
     return df.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tallytide.functions import quoted
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+HASHED_PARTITION_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 48
 
 _SPLITS = "__splits"
@@ -106,12 +107,17 @@ def split_join(
     how: str = "inner",
     weights: DataFrame | None = None,
     rows: str = "n_rows",
+    side_bytes: float = math.inf,
 ) -> DataFrame:
     """Shuffle join in which each heavy key is spread over several partitions.
 
     A fact row of a heavy key gets a part number from a hash of the whole row, so a retried task
     repeats it; the side rows of that key are copied once per part. Each fact row still meets each
-    matching side row exactly once.
+    matching side row exactly once. Exact copies of one row share a part, where adaptive execution
+    can still split them by the tasks they come from.
+
+    When ``side_bytes`` shows that one partition's share of the side is small, it is hashed in
+    memory and the fact rows need no sort.
     """
     keys = key_list(on)
     spark = fact.sparkSession
@@ -119,8 +125,9 @@ def split_join(
         weights = settle(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows))).table
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     heavy, _, found = settle(heavy_keys(weights, keys, rows, partitions))
+    method = "shuffle_hash" if side_bytes / partitions <= HASHED_PARTITION_BYTES else "merge"
     if not found:
-        return fact.join(side, keys, how)
+        return fact.join(side.hint(method), keys, how)
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
     row_hash = F.xxhash64(*[F.col(quoted(c)) for c in fact.columns])
     spread = broadcast_join(fact, heavy, keys, "left").withColumn(
@@ -129,7 +136,7 @@ def split_join(
     copies = broadcast_join(side, heavy, keys, "left").withColumn(
         _PART, F.explode(F.sequence(F.lit(0), splits - 1))
     )
-    joined = spread.drop(_SPLITS).join(copies.drop(_SPLITS), [*keys, _PART], how)
+    joined = spread.drop(_SPLITS).join(copies.drop(_SPLITS).hint(method), [*keys, _PART], how)
     return joined.drop(_PART)
 
 
@@ -183,4 +190,4 @@ def lookup_join(
     if size <= limit:
         return broadcast_join(fact, slim, keys, how)
     weights = table.select(*keys, rows) if rows else None
-    return split_join(fact, slim, keys, how, weights, rows or "n_rows")
+    return split_join(fact, slim, keys, how, weights, rows or "n_rows", size)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tallytide.operators.aggregates import cluster_profiles, mean_by_time
 from tallytide.operators.joins import restrict_to
 from tallytide.operators.ml import cluster_entities, silhouette
-from tallytide.operators.ranking import time_axis, top_variable
+from tallytide.operators.ranking import top_variable
 from tallytide.operators.reshape import feature_index, long_to_vector
+from tallytide.operators.sets import distinct_values
 from tallytide.operators.sizing import settle
 
 
@@ -58,7 +59,7 @@ def cluster_time_profiles(
     """K-means over the time profiles of the most variable entities, or of those in ``ids``."""
     chosen = top_variable(normalized, n_features, entity, sample, value) if ids is None else ids
     listed = restrict_to(normalized, chosen, entity)
-    times = time_axis(normalized, t)
+    times = distinct_values(normalized, [t])
     vectors = time_profiles(listed, times, entity, t, value, center)
     labelled = cluster_entities(vectors, entity, "features", k, seed, layout)
     labels = labelled.select(entity, "cluster")

@@ -14,6 +14,8 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -41,7 +43,8 @@ def test_matches_sql(spark, duck, name):
     ours = contract.queries()[name](spark, SF_DIR)
     result = duck.execute(contract.oracle_sql()[name])
     names = [d[0] for d in result.description]
-    assert sorted(ours.columns) == sorted(names)
+    types = {d[0]: str(d[1]) for d in result.description}
+    assert {c: DUCK_TYPES.get(t, t) for c, t in ours.dtypes} == types
     expected = comparable(names, result.fetchall())
     actual = comparable(ours.columns, [tuple(r) for r in ours.collect()])
     assert len(actual) == len(expected)

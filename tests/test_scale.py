@@ -115,12 +115,9 @@ def test_measured_size_decides(spark):
     assert 150_000 < settle(side).bytes < 400_000
     fact = fx.counts(spark, SF)
     assert "BroadcastHashJoin" in plan_text(lookup_join(fact, side, "gene_id"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small_limit = plan_text(lookup_join(fact, side, "gene_id", limit_bytes=100_000))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in small_limit
+    assert "ShuffledHashJoin" in plan_text(lookup_join(fact, side, "gene_id", limit_bytes=100_000))
+    assert "SortMergeJoin" in plan_text(split_join(fact, side, "gene_id"))
+    assert settle(side).rows == 1000
 
 
 def test_nested_columns_are_never_broadcast(spark):

@@ -660,12 +660,12 @@ def rebalance(spark, sf):
 
 @query
 def persist_scope(spark, sf):
-    """Two actions over one kept table: the row count of each scan."""
+    """Rows of the counts next to what two actions over the kept table found."""
     with ly.persist_scope(fx.counts(spark, sf)) as kept:
         rows = kept.count()
         entities = ag.distinct_entities(kept).first()[0]
     return fx.counts(spark, sf).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.lit(rows).alias("kept_rows"),
-        F.lit(entities).alias("kept_entities"),
+        F.lit(rows).cast("bigint").alias("kept_rows"),
+        F.lit(entities).cast("bigint").alias("kept_entities"),
     )
