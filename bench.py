@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallytide.operators.layout import rebalance
 from tallytide.operators.sets import replicate_rows
 from tallytide.plans import normalize
+from tallytide.sources import read_table, write_table
 from workload import fixtures
 from workload.queries import QUERIES
 
@@ -84,10 +85,12 @@ def main() -> None:
         seconds[name] = median_seconds(lambda name=name: drain(QUERIES[name](spark, SF_DIR)))
 
     scale = {}
-    counts = fixtures.counts(spark, SF_DIR)
+    spread = fixtures.scratch_path(spark, "spread")
+    write_table(rebalance(fixtures.counts(spark, SF_DIR), int(CPUS)), spread)
+    counts = read_table(spark, spread)
     base = counts.count()
     for copies in COPIES:
-        many = replicate_rows(rebalance(counts, int(CPUS)), copies)
+        many = replicate_rows(counts, copies)
         key = ["sample_id", "replica"]
 
         def run(many: DataFrame = many, key: list[str] = key) -> None:

@@ -87,8 +87,8 @@ def attach_labels(
 def restrict_to(
     df: DataFrame, ids: DataFrame | Settled, key: str | Sequence[str] = "gene_id"
 ) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``ids``; duplicate ids do not repeat rows."""
-    listed = ids if isinstance(ids, Settled) else ids.select(*key_list(key))
+    """Rows of ``df`` whose key occurs in ``ids``; repeated ids are dropped first."""
+    listed = ids if isinstance(ids, Settled) else ids.select(*key_list(key)).distinct()
     return lookup_join(df, listed, key, "left_semi")
 
 
@@ -104,9 +104,9 @@ def missing_samples(
 ) -> DataFrame:
     """Metadata ids that ``present`` lacks, once each."""
     ids = metadata.select(sample).distinct()
-    return lookup_join(ids, present.select(sample), sample, "left_anti")
+    return lookup_join(ids, present.select(sample).distinct(), sample, "left_anti")
 
 
 def settled_ids(df: DataFrame, *columns: str) -> Settled:
-    """A small id list computed once, for use by several later steps."""
-    return settle(df.select(*columns))
+    """The distinct ids of ``df`` computed once, for use by several later steps."""
+    return settle(df.select(*columns).distinct())

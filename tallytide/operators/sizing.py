@@ -11,7 +11,7 @@ import tempfile
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,20 +50,19 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def _row_bytes(df: DataFrame) -> Column | None:
-    """Bytes of one row, or None when a column has a type that is not worth measuring."""
-    total = F.lit(ROW_OVERHEAD_BYTES).cast("long")
+def _row_bytes(df: DataFrame) -> str | None:
+    """Expression for the bytes of one row, or None for a type that is not worth measuring."""
+    terms = [f"{ROW_OVERHEAD_BYTES}L"]
     for field in df.schema.fields:
-        column = F.col(quoted(field.name))
         if isinstance(field.dataType, T.StringType | T.BinaryType):
-            total = total + F.coalesce(F.octet_length(column), F.lit(0)) + 16
+            terms.append(f"16 + coalesce(octet_length({quoted(field.name)}), 0)")
         elif isinstance(field.dataType, T.DecimalType):
-            total = total + 24
+            terms.append("24")
         elif isinstance(field.dataType, T.NumericType | T.BooleanType | T.DatetimeType):
-            total = total + 8
+            terms.append("8")
         else:
             return None
-    return total
+    return " + ".join(terms)
 
 
 def settle(df: DataFrame | Settled) -> Settled:
@@ -79,9 +78,7 @@ def settle(df: DataFrame | Settled) -> Settled:
     width = _row_bytes(df)
     seen = Observation()
     table = df.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.lit(0) if width is None else width).alias("bytes"),
+        seen, F.expr("count(1) AS rows"), F.expr(f"sum({width or 0}) AS bytes")
     ).checkpoint()
     size = math.inf if width is None else seen.get["bytes"] or 0
     return Settled(table, size, seen.get["rows"])
@@ -129,7 +126,7 @@ def split_join(
     if not found:
         return fact.join(side.hint(method), keys, how)
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
-    row_hash = F.xxhash64(*[F.col(quoted(c)) for c in fact.columns])
+    row_hash = F.expr(_hash_of([quoted(c) for c in fact.columns]))
     spread = broadcast_join(fact, heavy, keys, "left").withColumn(
         _PART, F.pmod(row_hash, splits).cast("int")
     )
@@ -140,6 +137,10 @@ def split_join(
     return joined.drop(_PART)
 
 
+def _hash_of(columns: Sequence[str]) -> str:
+    return f"xxhash64({', '.join(columns)})"
+
+
 def broadcast_join(
     fact: DataFrame, side: DataFrame, on: str | Sequence[str], how: str = "inner"
 ) -> DataFrame:
@@ -156,17 +157,21 @@ def broadcast_join(
     whole = len(keys) == 1 and isinstance(types[0], T.IntegralType)
     if whole or types != [side.schema[k].dataType for k in keys]:
         return fact.join(F.broadcast(side), keys, how)
-    theirs = {k: f"__key{i}" for i, k in enumerate(keys)}
-    probe = fact.withColumn("__hash", F.xxhash64(*[F.col(quoted(k)) for k in keys]))
-    build = side.withColumnsRenamed(theirs).withColumn("__side", F.xxhash64(*theirs.values()))
-    match = F.col("__hash") == F.col("__side")
-    for k in keys:
-        mine, other = F.col(quoted(k)), F.col(theirs[k])
-        match = match & (mine >= other) & (mine <= other)
-    joined = probe.join(F.broadcast(build), match, how).drop("__hash", "__side", *theirs.values())
-    return joined.select(*[quoted(k) for k in keys], *[
-        quoted(c) for c in joined.columns if c not in keys
-    ])
+    mine = [quoted(k) for k in keys]
+    theirs = [f"__key{i}" for i in range(len(keys))]
+    added = [quoted(c) for c in side.columns if c not in keys]
+    probe = fact.selectExpr("*", f"{_hash_of(mine)} AS __hash")
+    build = side.selectExpr(
+        *[f"{m} AS {t}" for m, t in zip(mine, theirs, strict=True)],
+        *added,
+        f"{_hash_of(mine)} AS __side",
+    )
+    bounds = [f"{m} >= {t} AND {m} <= {t}" for m, t in zip(mine, theirs, strict=True)]
+    match = F.expr(" AND ".join(["__hash = __side", *bounds]))
+    rest = [quoted(c) for c in fact.columns if c not in keys]
+    if how in ("left_semi", "left_anti"):
+        added = []
+    return probe.join(F.broadcast(build), match, how).selectExpr(*mine, *rest, *added)
 
 
 def lookup_join(
