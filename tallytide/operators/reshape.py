@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
@@ -34,9 +35,7 @@ def select_known_samples(
     header = present_samples(matrix.sparkSession, candidates, sample)
     hits = broadcast_join(metadata.select(sample), header, sample, "left_semi").distinct()
     known = {row[0] for row in hits.collect()}
-    return matrix.select(
-        F.col(quoted(entity)), *[F.col(quoted(c)) for c in candidates if c in known]
-    )
+    return matrix.selectExpr(quoted(entity), *[quoted(c) for c in candidates if c in known])
 
 
 def melt_matrix(
@@ -46,10 +45,17 @@ def melt_matrix(
     sample: str = "sample_id",
     count: str = "raw_count",
 ) -> DataFrame:
-    """Wide to long: one row per entity and sample column, null cells included."""
+    """Wide to long: one row per entity and sample column, null cells included.
+
+    The cells of a row become one array that is exploded with positions. ``unpivot`` gives the
+    same rows but plans one projection of the whole row per column, so its cost grows with the
+    square of the width. Names are one JSON literal, so they are never parsed as SQL.
+    """
     values = [c for c in df.columns if c != entity] if columns is None else list(columns)
-    return df.unpivot(
-        [F.col(quoted(entity))], [F.col(quoted(c)) for c in values], sample, count
+    names = F.from_json(F.lit(json.dumps(values)), "array<string>")
+    cells = F.expr(f"posexplode(array({', '.join(quoted(c) for c in values)}))")
+    return df.select(F.col(quoted(entity)), cells.alias("__pos", count)).select(
+        F.col(quoted(entity)), F.get(names, "__pos").alias(sample), F.col(quoted(count))
     )
 
 
