@@ -97,6 +97,19 @@ def cluster_sizes(labels: DataFrame, label: str = "cluster", out: str = "n") ->
     return labels.groupBy(label).agg(F.count(F.lit(1)).alias(out))
 
 
+def profiles_of_means(
+    means: DataFrame,
+    labels: DataFrame,
+    entity: str = "gene_id",
+    t: str = "hours",
+    label: str = "cluster",
+) -> DataFrame:
+    """Mean of the entity means per cluster and time, with the cluster's member count."""
+    labelled = lookup_join(means, labels.select(entity, label), entity)
+    profiles = labelled.groupBy(label, t).agg(F.avg("mean_expr").alias("mean_expr"))
+    return lookup_join(profiles, cluster_sizes(labels, label, "n_entities"), label)
+
+
 def cluster_profiles(
     normalized: DataFrame,
     labels: DataFrame,
@@ -105,14 +118,9 @@ def cluster_profiles(
     value: str = "log2_cpm",
     label: str = "cluster",
 ) -> DataFrame:
-    """Mean of the entity means per cluster and time, with the cluster's member count."""
+    """``profiles_of_means`` from normalised rows."""
     means = mean_by_time(normalized, entity, t, value, out="mean_expr")
-    profiles = (
-        lookup_join(means, labels.select(entity, label), entity)
-        .groupBy(label, t)
-        .agg(F.avg("mean_expr").alias("mean_expr"))
-    )
-    return lookup_join(profiles, cluster_sizes(labels, label, "n_entities"), label)
+    return profiles_of_means(means, labels, entity, t, label)
 
 
 def profile(

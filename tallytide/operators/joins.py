@@ -60,16 +60,16 @@ def attach_baseline(
     """Rows after the baseline time, each with its entity's baseline value.
 
     ``means`` has one row per entity and time, so a window holds at most one row per time point
-    however many samples an entity was measured in. Entities without a baseline row drop out.
+    however many samples an entity was measured in. Entities without a baseline row drop out; a
+    baseline row with a null level stays a row.
     """
-    at_start = F.col(t) == baseline
-    of_entity = Window.partitionBy(entity)
+    at_start = F.when(F.col(t) == baseline, F.struct(F.col(value).alias("level")))
     return (
         means.filter(F.col(t) >= baseline)
-        .withColumn(out, F.max(F.when(at_start, F.col(value))).over(of_entity))
-        .withColumn("__seen", F.max(at_start).over(of_entity))
-        .filter(F.col("__seen") & (F.col(t) > baseline))
-        .drop("__seen")
+        .withColumn("__start", F.max(at_start).over(Window.partitionBy(entity)))
+        .filter(F.col("__start").isNotNull() & (F.col(t) > baseline))
+        .withColumn(out, F.col("__start.level"))
+        .drop("__start")
     )
 
 

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallytide.operators.aggregates import cluster_profiles, mean_by_time
+from tallytide.operators.aggregates import mean_by_time, profiles_of_means
 from tallytide.operators.joins import restrict_to
 from tallytide.operators.ml import cluster_entities, silhouette
 from tallytide.operators.ranking import top_variable
@@ -22,6 +22,16 @@ class ClusterResult(NamedTuple):
     silhouette: DataFrame
 
 
+def _mean_vectors(
+    means: DataFrame, times: DataFrame, entity: str, t: str, center: bool
+) -> DataFrame:
+    index = settle(feature_index(times.select(t), t, [F.col(t)]))
+    if center:
+        own = F.avg("mean_expr").over(Window.partitionBy(entity))
+        means = means.withColumn("mean_expr", F.col("mean_expr") - own)
+    return long_to_vector(means, [entity], t, "mean_expr", index, index.rows)
+
+
 def time_profiles(
     normalized: DataFrame,
     times: DataFrame,
@@ -35,12 +45,8 @@ def time_profiles(
     ``center`` subtracts each entity's own mean over its times, so that shape and not level
     decides the distance between two entities.
     """
-    index = settle(feature_index(times.select(t), t, [F.col(t)]))
     means = mean_by_time(normalized, entity, t, value, out="mean_expr")
-    if center:
-        own = F.avg("mean_expr").over(Window.partitionBy(entity))
-        means = means.withColumn("mean_expr", F.col("mean_expr") - own)
-    return long_to_vector(means, [entity], t, "mean_expr", index, index.rows)
+    return _mean_vectors(means, times, entity, t, center)
 
 
 def cluster_time_profiles(
@@ -56,15 +62,18 @@ def cluster_time_profiles(
     center: bool = False,
     layout: int | None = None,
 ) -> ClusterResult:
-    """K-means over the time profiles of the most variable entities, or of those in ``ids``."""
+    """K-means over the time profiles of the most variable entities, or of those in ``ids``.
+
+    The entities' means are settled once, for the vectors and for the cluster profiles.
+    """
     chosen = top_variable(normalized, n_features, entity, sample, value) if ids is None else ids
     listed = restrict_to(normalized, chosen, entity)
-    times = distinct_values(normalized, [t])
-    vectors = time_profiles(listed, times, entity, t, value, center)
+    means = settle(mean_by_time(listed, entity, t, value, out="mean_expr")).table
+    vectors = _mean_vectors(means, distinct_values(normalized, [t]), entity, t, center)
     labelled = cluster_entities(vectors, entity, "features", k, seed, layout)
     labels = labelled.select(entity, "cluster")
     return ClusterResult(
         labels,
-        cluster_profiles(listed, labels, entity, t, value),
+        profiles_of_means(means, labels, entity, t),
         silhouette(labelled, "features", "cluster"),
     )
