@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallytide.operators import sizing
 from tallytide.operators.aggregates import keyed_totals
-from tallytide.operators.sizing import Settled, key_list, lookup_join, settle
+from tallytide.operators.sizing import Settled, broadcast_join, key_list, lookup_join, settle
 
 
 def attach_metadata(
@@ -31,11 +32,20 @@ def filter_low_count(
 ) -> DataFrame:
     """Keep the rows of entities whose total count reaches ``min_total``.
 
-    An entity with only null counts has a null total and drops out.
+    An entity with only null counts has a null total and drops out. With too many entities to
+    broadcast, the ones that fail may still be few enough: then those are broadcast and left out.
     """
-    totals = keyed_totals(counts, entity, count, "total_count")
-    passing = totals.filter(F.col("total_count") >= min_total).drop("total_count")
-    return lookup_join(counts, passing, entity, "left_semi", rows="n_rows")
+    totals = settle(keyed_totals(counts, entity, count, "total_count"))
+    passes = F.coalesce(F.col("total_count") >= min_total, F.lit(False))
+    if totals.bytes > sizing.BROADCAST_LIMIT_BYTES:
+        failing = settle(totals.table.filter(~passes).select(entity))
+        if failing.bytes <= sizing.BROADCAST_LIMIT_BYTES:
+            named = counts.filter(F.col(entity).isNotNull())
+            return broadcast_join(named, failing.table, entity, "left_anti")
+    passing = totals.table.filter(passes).drop("total_count")
+    return lookup_join(
+        counts, Settled(passing, totals.bytes, totals.rows), entity, "left_semi", rows="n_rows"
+    )
 
 
 def attach_library_size(

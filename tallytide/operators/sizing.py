@@ -126,7 +126,8 @@ def split_join(
     if not found:
         return fact.join(side.hint(method), keys, how)
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
-    row_hash = F.expr(_hash_of([quoted(c) for c in fact.columns]))
+    hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row_hash = F.expr(_hash_of([quoted(c) for c in hashable]))
     spread = broadcast_join(fact, heavy, keys, "left").withColumn(
         _PART, F.pmod(row_hash, splits).cast("int")
     )

@@ -56,10 +56,13 @@ def ingest_files(
     metadata_path: str,
     out_path: str,
     partition_by: str | None = "hours",
+    check_keys: bool = True,
 ) -> DataFrame:
     """Read both CSV files, write the long counts as Parquet and return that table."""
     counts = ingest(
-        read_count_matrix(spark, matrix_path), read_sample_metadata(spark, metadata_path)
+        read_count_matrix(spark, matrix_path),
+        read_sample_metadata(spark, metadata_path),
+        check_keys=check_keys,
     )
     write_table(counts, out_path, partition_by)
     return read_table(spark, out_path)

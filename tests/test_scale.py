@@ -138,6 +138,18 @@ def test_low_count_filter_reads_two_columns_first(spark):
     assert "LeftSemi" in plan_text(filter_low_count(fx.counts(spark, SF), 500, count="n"))
 
 
+def test_few_failing_entities_are_broadcast_instead(spark, monkeypatch):
+    counts = fx.counts(spark, SF)
+    holes = counts.union(counts.limit(1).withColumn("gene_id", F.lit(None).cast("bigint")))
+    blank = counts.limit(1).withColumns({"gene_id": F.lit(-1).cast("bigint"), "n": F.lit(None).cast("bigint")})
+    fact = settle(holes.union(blank)).table
+    want = rows(filter_low_count(fact, 500, count="n"))
+    monkeypatch.setattr(sizing, "BROADCAST_LIMIT_BYTES", 2000)
+    few = filter_low_count(fact, 500, count="n")
+    assert "LeftAnti" in plan_text(few) and "hashpartitioning" not in plan_text(few)
+    assert rows(few) == want
+
+
 def test_top_k_keeps_k_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan_text(top_variable(fx.normalized(spark, SF), 20))
 

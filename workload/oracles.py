@@ -200,7 +200,7 @@ ORACLES: dict[str, str] = {
     # ---- sources and sinks
     "sample_metadata_csv": with_(
         C,
-        """SELECT DISTINCT 'fly ' || sample_id AS full_sample_name, rep AS replicate,
+        """SELECT DISTINCT 'lib ' || sample_id AS full_sample_name, rep AS replicate,
        CAST(hrs + 1 AS INTEGER) AS time_point, hrs AS hours,
        CAST(hrs AS VARCHAR) || ' h' AS time_label, sample_id FROM c""",
     ),

@@ -64,7 +64,7 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
 def metadata_csv(spark: SparkSession, sf: str) -> str:
     def write(path: str) -> None:
         named = fx.sample_table(spark, sf).select(
-            F.concat(F.lit("fly "), "sample_id").alias("sample"),
+            F.concat(F.lit("lib "), "sample_id").alias("sample"),
             F.col("rep").alias("replicate"),
             (F.col("hrs") + 1).alias("time"),
             F.col("hrs").alias("hours"),
