@@ -141,7 +141,7 @@ def long_to_vector(
     rows behind a key. Slots without a row, or with a null, get ``fill``.
     """
     blank = F.lit(float(fill))
-    entries = F.array_sort(F.collect_list(F.struct("__idx", "__val")))
+    entries = F.sort_array(F.collect_list(F.struct("__idx", "__val")))
 
     def with_gap(entry: Column, i: Column) -> Column:
         before = F.coalesce(F.get(F.col("__entries"), i - 1)["__idx"], F.lit(-1))
@@ -150,18 +150,15 @@ def long_to_vector(
         )
 
     tail = F.array_repeat(blank, F.lit(size - 1) - F.element_at("__entries", -1)["__idx"])
+    gapped = F.concat(F.flatten(F.transform("__entries", with_gap)), tail)
+    slots = F.when(F.size("__entries") == size, F.col("__entries.__val")).otherwise(gapped)
     return (
         lookup_join(df.select(*key, feature, value), index, feature)
         .groupBy(*key, "__idx")
         .agg(F.coalesce(F.max(value), blank).alias("__val"))
         .groupBy(*key)
         .agg(entries.alias("__entries"))
-        .select(
-            *key,
-            array_to_vector(
-                F.concat(F.flatten(F.transform("__entries", with_gap)), tail)
-            ).alias(out),
-        )
+        .select(*key, array_to_vector(slots).alias(out))
     )
 
 
