@@ -113,8 +113,9 @@ def split_join(
     matching side row exactly once. Exact copies of one row share a part, where adaptive execution
     can still split them by the tasks they come from.
 
-    When ``side_bytes`` shows that one partition's share of the side is small, it is hashed in
-    memory and the fact rows need no sort.
+    Give ``side_bytes`` only for a side with one row per key, which spreads evenly: when it shows
+    that a partition's share of the side is small, that is hashed in memory and the fact rows need
+    no sort. Otherwise both sides are sorted, which can spill.
     """
     keys = key_list(on)
     spark = fact.sparkSession
@@ -185,9 +186,9 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``fact`` to a side table: broadcast if it measures small, else ``split_join``.
 
-    ``rows`` names a column of ``side`` that already holds the number of fact rows per key, which
-    spares the count of heavy keys; it is not part of the result. A side that is not settled yet
-    costs one job.
+    ``rows`` names a column of a side with one row per key that already holds the number of fact
+    rows per key, which spares the count of heavy keys; it is not part of the result. A side that
+    is not settled yet costs one job.
     """
     keys = key_list(on)
     limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
@@ -196,4 +197,5 @@ def lookup_join(
     if size <= limit:
         return broadcast_join(fact, slim, keys, how)
     weights = table.select(*keys, rows) if rows else None
-    return split_join(fact, slim, keys, how, weights, rows or "n_rows", size)
+    hashed = size if rows else math.inf
+    return split_join(fact, slim, keys, how, weights, rows or "n_rows", hashed)

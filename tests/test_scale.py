@@ -115,8 +115,10 @@ def test_measured_size_decides(spark):
     assert 150_000 < settle(side).bytes < 400_000
     fact = fx.counts(spark, SF)
     assert "BroadcastHashJoin" in plan_text(lookup_join(fact, side, "gene_id"))
-    assert "ShuffledHashJoin" in plan_text(lookup_join(fact, side, "gene_id", limit_bytes=100_000))
-    assert "SortMergeJoin" in plan_text(split_join(fact, side, "gene_id"))
+    assert "SortMergeJoin" in plan_text(lookup_join(fact, side, "gene_id", limit_bytes=100_000))
+    counted = side.withColumn("n_rows", F.lit(12))
+    unique = lookup_join(fact, counted, "gene_id", rows="n_rows", limit_bytes=100_000)
+    assert "ShuffledHashJoin" in plan_text(unique) and "n_rows" not in unique.columns
     assert settle(side).rows == 1000
 
 
