@@ -9,7 +9,20 @@ from pyspark.sql import functions as F
 
 from tallytide.llm.common import table
 from tallytide.llm.exact_dedup import exact_duplicates
+from tallytide.llm.language import identify_languages
+from tallytide.llm.mixing import layout_topic, mix, word_count
+from tallytide.llm.packing import pack
 from tallytide.llm.simhash import near_duplicates
+from tallytide.llm.token_counts import token_counts
+from tallytide.llm.tokens import vocabulary
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2048)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,12 +32,27 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": layout_topic(F.col("text"))}
+    return mix(table(spark, sf_dir, "documents"), dims, word_count(F.col("text"))).select(
+        "doc_id", *dims, "n_tokens", "factor", "probability", "sampled"
+    )
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
+    "op4_mixing": op4_mixing,
+    "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
