@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from tallytide.llm.common import table
 from tallytide.llm.exact_dedup import exact_duplicates
 from tallytide.llm.language import identify_languages
+from tallytide.llm.merkle import edit_likeness
 from tallytide.llm.mixing import layout_topic, mix, word_count
 from tallytide.llm.packing import pack
+from tallytide.llm.secret_scan import scan_secrets, summarize
 from tallytide.llm.simhash import near_duplicates
 from tallytide.llm.token_counts import token_counts
 from tallytide.llm.tokens import vocabulary
+from tallytide.llm.toxicity import detect_toxicity
+from tallytide.llm.warc import archive_round_trip
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +43,35 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents name no owners: their source is taken for one, and source and language for a
+    repository."""
+    found = scan_secrets(
+        table(spark, sf_dir, "documents"),
+        repository=F.concat_ws("/", "source", "lang"),
+        owner=F.col("source"),
+    )
+    return summarize(found)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id",
+        "payload_bytes",
+        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("refers_to_page").alias("refers_to"),
+    )
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -52,6 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_warc": op6_warc,
+    "op7_toxicity": op7_toxicity,
+    "op8_merkle": op8_merkle,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
 }
