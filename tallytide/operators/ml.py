@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallytide.functions import element
@@ -20,7 +20,7 @@ from tallytide.operators.sizing import lookup_join, settle
 def standardize(
     df: DataFrame, by: str = "gene_id", value: str = "log2_cpm", out: str = "z"
 ) -> DataFrame:
-    """Z-score of each value within its feature, long form; a constant feature gives 0.
+    """Z-score of each value within its feature, long form; a constant feature gives 0, a null null.
 
     Mean and deviation come from an aggregate joined back, not from a window, so the rows of one
     feature never have to meet in one task.
@@ -30,7 +30,8 @@ def standardize(
         F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("__sd"),
         F.count(F.lit(1)).alias("__rows"),
     )
-    z = F.when(F.col("__sd") == 0, F.lit(0.0)).otherwise(
+    missing = F.col(value).isNull()
+    z = F.when(~missing & (F.col("__sd") == 0), F.lit(0.0)).otherwise(
         (F.col(value) - F.col("__mean")) / F.col("__sd")
     )
     return lookup_join(df, stats, by, rows="__rows").withColumn(out, z).drop("__mean", "__sd")
@@ -71,29 +72,76 @@ def sample_coordinates(
     )
 
 
-ROWS_PER_PARTITION = 50_000
+SEED_PARTITIONS = 16
 
 
-def cluster_entities(
+class Clusters(NamedTuple):
+    """``rows``: key, vector and label of every entity; ``centres``: label and centre as an array."""
+
+    rows: DataFrame
+    centres: DataFrame
+
+
+def fit_clusters(
     df: DataFrame,
     key: str = "gene_id",
     vector: str = "features",
     k: int = 5,
     seed: int = 42,
-    layout: int | None = None,
+    layout: int = SEED_PARTITIONS,
     out: str = "cluster",
-) -> DataFrame:
-    """K-means label per entity.
+) -> Clusters:
+    """K-means over entities, with labels numbered by the smallest key they hold.
 
     The seeding draws by partition and row order, so rows are first hashed into ``layout``
-    partitions and sorted there; by default their number follows from the number of rows. Labels
-    then depend on the data and the seed, not on the session or on how the input was split.
+    partitions and sorted there. Labels then depend on the data, the seed and ``layout``, not on the
+    session, the number of rows or how the input was split. Give a larger ``layout`` on a cluster.
     """
-    rows, _, count = settle(df.select(key, vector))
-    n = layout or max(1, math.ceil(count / ROWS_PER_PARTITION))
-    placed = rows.repartition(n, key).sortWithinPartitions(key)
-    model = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol=out).fit(placed)
-    return model.transform(rows)
+    rows = settle(df.select(key, vector)).table
+    placed = rows.repartition(layout, key).sortWithinPartitions(key)
+    model = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol="__found").fit(placed)
+    found = model.transform(rows)
+    first = found.groupBy("__found").agg(F.min(key).alias("least")).orderBy("least").collect()
+    centres = model.clusterCenters()
+    numbers = df.sparkSession.createDataFrame(
+        [(r["__found"], i, centres[r["__found"]].tolist()) for i, r in enumerate(first)],
+        f"__found int, `{out}` int, centre array<double>",
+    )
+    labelled = found.join(F.broadcast(numbers.drop("centre")), "__found").drop("__found")
+    return Clusters(labelled, numbers.select(out, "centre"))
+
+
+def cluster_entities(
+    df: DataFrame,
+    key: str = "gene_id",
+    vector: str = "features",
+    k: int = 5,
+    seed: int = 42,
+    layout: int = SEED_PARTITIONS,
+    out: str = "cluster",
+) -> DataFrame:
+    """Key, vector and k-means label of every entity; see ``fit_clusters``."""
+    return fit_clusters(df, key, vector, k, seed, layout, out).rows
+
+
+def misplaced(clusters: Clusters, vector: str = "features", label: str = "cluster") -> DataFrame:
+    """One row: entities, labels in use, and entities nearer to another label's centre."""
+    values = vector_to_array(vector)
+
+    def gap(centre: list[float]) -> Column:
+        squares = F.zip_with(
+            values, F.array(*[F.lit(float(x)) for x in centre]), lambda a, b: (a - b) * (a - b)
+        )
+        return F.round(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x), 9)
+
+    gaps = {r[label]: gap(r["centre"]) for r in clusters.centres.collect()}
+    own = F.coalesce(*[F.when(F.col(label) == k, g) for k, g in gaps.items()])
+    least = F.array_min(F.array(*gaps.values()))
+    return clusters.rows.select(label, own.alias("own"), least.alias("least")).agg(
+        F.count(F.lit(1)).alias("n_entities"),
+        F.count_distinct(label).alias("n_clusters"),
+        F.count_if(F.col("own") > F.col("least")).alias("n_misplaced"),
+    )
 
 
 def silhouette(df: DataFrame, vector: str = "features", label: str = "cluster") -> DataFrame:

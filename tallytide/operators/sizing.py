@@ -108,10 +108,10 @@ def split_join(
 ) -> DataFrame:
     """Shuffle join in which each heavy key is spread over several partitions.
 
-    A fact row of a heavy key gets a part number from a hash of the whole row, so a retried task
-    repeats it; the side rows of that key are copied once per part. Each fact row still meets each
-    matching side row exactly once. Exact copies of one row share a part, where adaptive execution
-    can still split them by the tasks they come from.
+    A fact row of a heavy key gets a part number from a hash of the whole row and of the input
+    partition it lies in, so a retried task repeats it and exact copies of one row spread too; the
+    side rows of that key are copied once per part. Each fact row still meets each matching side row
+    exactly once.
 
     Give ``side_bytes`` only for a side with one row per key, which spreads evenly: when it shows
     that a partition's share of the side is small, that is hashed in memory and the fact rows need
@@ -128,7 +128,7 @@ def split_join(
         return fact.join(side.hint(method), keys, how)
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
     hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
-    row_hash = F.expr(_hash_of([quoted(c) for c in hashable]))
+    row_hash = F.expr(_hash_of([*[quoted(c) for c in hashable], "spark_partition_id()"]))
     spread = broadcast_join(fact, heavy, keys, "left").withColumn(
         _PART, F.pmod(row_hash, splits).cast("int")
     )
@@ -139,6 +139,11 @@ def split_join(
     return joined.drop(_PART)
 
 
+def _collated(kind: T.DataType) -> bool:
+    """Text that compares equal without being equal byte for byte, which a hash cannot know."""
+    return isinstance(kind, T.StringType) and kind.collation != "UTF8_BINARY"
+
+
 def _hash_of(columns: Sequence[str]) -> str:
     return f"xxhash64({', '.join(columns)})"
 
@@ -152,12 +157,12 @@ def broadcast_join(
     columns. Other keys are therefore hashed to a long for the lookup, and the keys themselves are
     compared on the rows found, so two keys with one hash stay apart. The comparison is spelled as
     a pair of bounds because an equality would become part of the lookup key again. Keys of two
-    different types would hash differently and are left to Spark.
+    different types or with a collation would hash differently and are left to Spark.
     """
     keys = key_list(on)
     types = [fact.schema[k].dataType for k in keys]
     whole = len(keys) == 1 and isinstance(types[0], T.IntegralType)
-    if whole or types != [side.schema[k].dataType for k in keys]:
+    if whole or any(_collated(t) for t in types) or types != [side.schema[k].dataType for k in keys]:
         return fact.join(F.broadcast(side), keys, how)
     mine = [quoted(k) for k in keys]
     theirs = [f"__key{i}" for i in range(len(keys))]
@@ -188,9 +193,14 @@ def lookup_join(
 
     ``rows`` names a column of a side with one row per key that already holds the number of fact
     rows per key, which spares the count of heavy keys; it is not part of the result. A side that
-    is not settled yet costs one job.
+    is not settled yet costs one job. Columns other than the keys may not be on both sides, unless
+    the join only filters.
     """
     keys = key_list(on)
+    given = side.table if isinstance(side, Settled) else side
+    shared = {*fact.columns} & {*given.columns} - {*keys, rows}
+    if shared and how not in ("left_semi", "left_anti"):
+        raise ValueError(f"columns on both sides of the join: {sorted(shared)}")
     limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
     table, size, _ = settle(side)
     slim = table.drop(rows) if rows else table

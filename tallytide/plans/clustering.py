@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallytide.operators.aggregates import mean_by_time, profiles_of_means
 from tallytide.operators.joins import restrict_to
-from tallytide.operators.ml import cluster_entities, silhouette
+from tallytide.operators.ml import SEED_PARTITIONS, fit_clusters, silhouette
 from tallytide.operators.ranking import top_variable
 from tallytide.operators.reshape import feature_index, long_to_vector
 from tallytide.operators.sets import distinct_values
@@ -17,9 +17,17 @@ from tallytide.operators.sizing import settle
 
 
 class ClusterResult(NamedTuple):
+    """Labels and profiles of the clusters, their centres, and the labelled vectors."""
+
     labels: DataFrame
     profiles: DataFrame
-    silhouette: DataFrame
+    centres: DataFrame
+    vectors: DataFrame
+
+    @property
+    def silhouette(self) -> DataFrame:
+        """The score, computed when asked for."""
+        return silhouette(self.vectors, "features", "cluster")
 
 
 def _mean_vectors(
@@ -60,7 +68,7 @@ def cluster_time_profiles(
     value: str = "log2_cpm",
     ids: DataFrame | None = None,
     center: bool = False,
-    layout: int | None = None,
+    layout: int = SEED_PARTITIONS,
 ) -> ClusterResult:
     """K-means over the time profiles of the most variable entities, or of those in ``ids``.
 
@@ -70,10 +78,6 @@ def cluster_time_profiles(
     listed = restrict_to(normalized, chosen, entity)
     means = settle(mean_by_time(listed, entity, t, value, out="mean_expr")).table
     vectors = _mean_vectors(means, distinct_values(normalized, [t]), entity, t, center)
-    labelled = cluster_entities(vectors, entity, "features", k, seed, layout)
+    labelled, centres = fit_clusters(vectors, entity, "features", k, seed, layout)
     labels = labelled.select(entity, "cluster")
-    return ClusterResult(
-        labels,
-        profiles_of_means(means, labels, entity, t),
-        silhouette(labelled, "features", "cluster"),
-    )
+    return ClusterResult(labels, profiles_of_means(means, labels, entity, t), centres, labelled)

@@ -17,10 +17,14 @@ def dynamics(
     t: str = "hours",
     entity: str = "gene_id",
     value: str = "log2_cpm",
+    in_order: bool = True,
 ) -> DataFrame:
-    """Mean level and entity count per process, class and time, in that sort order."""
+    """Mean level and entity count per process, class and time, in that sort order.
+
+    Without ``in_order`` the rows come unsorted, for use below another aggregate.
+    """
     used = annotation.select(entity, process, group)
     table = annotation_dynamics(
         annotate(normalized, used, entity), process, group, t, entity, value
     )
-    return ordered(table, [process, t, group])
+    return ordered(table, [process, t, group]) if in_order else table

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +31,42 @@ ANNOTATION_COLUMNS = {
 }
 
 
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str | None, ...], list[str]]:
+    """The files below ``path`` by their header; files need not share one column order."""
+    by_header: dict[tuple[str | None, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        header = spark.read.csv(file, header=False, inferSchema=False).first()
+        if header is not None:
+            by_header.setdefault(tuple(header), []).append(file)
+    if not by_header:
+        raise ValueError(f"{path}: no header line")
+    return by_header
+
+
+def _read_named(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Files of one header as text columns. A row with more or fewer cells than the header fails the
+    read with the file's name; pruned columns would hide it."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("columnPruning", "false")
+    return reader.csv(list(files), header=True, enforceSchema=True)
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _read_mapped(spark: SparkSession, path: str, mapping: Mapping[str, str]) -> DataFrame:
-    raw = spark.read.csv(path, header=True, inferSchema=False)
-    absent = [c for c in mapping if c not in raw.columns]
-    if absent:
-        raise ValueError(f"{path}: no column {absent}; the header has {raw.columns}")
-    return raw.select(*[F.col(quoted(old)).alias(new) for old, new in mapping.items()])
+    parts = []
+    for header, files in _headers(spark, path).items():
+        names = [c or f"_c{i}" for i, c in enumerate(header)]
+        absent = [c for c in mapping if c not in names]
+        if absent:
+            raise ValueError(f"{files[0]}: no column {absent}; the header has {names}")
+        raw = _read_named(spark, files, [f"{i}" for i in range(len(names))])
+        parts.append(
+            raw.select(*[F.col(quoted(f"{names.index(old)}")).alias(new) for old, new in mapping.items()])
+        )
+    return _union(parts)
 
 
 def read_sample_metadata(
@@ -58,21 +89,25 @@ def read_annotation(
 def read_count_matrix(spark: SparkSession, path: str, entity: str = "gene_id") -> DataFrame:
     """Wide matrix of strings, one row per entity and one column per sample.
 
-    The first column is renamed by position, as its header is often blank. A repeated sample name
-    is an error: Spark would number the repeats and they would later look like unknown samples.
+    The first column is renamed by position, as its header is often blank; the others go by name, so
+    the files of a folder may order them differently but must have the same ones. A repeated sample
+    name is an error: Spark would number the repeats and they would later look like unknown samples.
     """
-    header = spark.read.csv(path, header=False, inferSchema=False).first()
-    if header is None:
-        raise ValueError(f"{path}: no header line")
     sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
-    names = [entity, *[c for c in header[1:] if c is not None]]
-    seen = Counter(names if sensitive else [c.lower() for c in names])
-    repeated = [c for c in names if seen[c if sensitive else c.lower()] > 1]
-    if repeated:
-        raise ValueError(f"{path}: repeated column names {repeated}")
-    labels = [entity, *[c or f"_c{i}" for i, c in enumerate(header[1:], start=1)]]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in labels])
-    return spark.read.schema(schema).csv(path, header=True)
+    parts: list[DataFrame] = []
+    for header, files in _headers(spark, path).items():
+        names = [entity, *[c for c in header[1:] if c is not None]]
+        seen = Counter(names if sensitive else [c.lower() for c in names])
+        repeated = [c for c in names if seen[c if sensitive else c.lower()] > 1]
+        if repeated:
+            raise ValueError(f"{files[0]}: repeated column names {repeated}")
+        labels = [entity, *[c or f"_c{i}" for i, c in enumerate(header[1:], start=1)]]
+        part = _read_named(spark, files, labels)
+        if parts and {*part.columns} != {*parts[0].columns}:
+            other = sorted({*part.columns} ^ {*parts[0].columns})
+            raise ValueError(f"{files[0]}: columns that not all files have: {other}")
+        parts.append(part)
+    return _union(parts)
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -74,7 +74,12 @@ def _stage(
     spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]
 ) -> DataFrame:
     path = stage_path(
-        spark, sf_dir, build.__name__, lambda to: write_table(build(spark, sf_dir), to)
+        spark,
+        sf_dir,
+        build.__name__,
+        lambda to: write_table(
+            build(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "gene_id"), to
+        ),
     )
     return read_table(spark, path)
 
@@ -99,10 +104,11 @@ def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    flags = [r[0] for r in lines.select("l_returnflag").distinct().orderBy("l_returnflag").collect()]
     return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_partkey").alias("gene_id"))
-        .pivot("l_returnflag", ["A", "N", "R"])
+        lines.groupBy(F.col("l_partkey").alias("gene_id"))
+        .pivot("l_returnflag", flags)
         .agg(F.sum("l_quantity").cast("bigint"))
     )
 

@@ -192,11 +192,30 @@ z AS (
 )"""
 )
 
-BY_TIME = ", ".join(
-    f'CAST(COALESCE(SUM(CASE WHEN hrs = {t} THEN n END), 0) AS BIGINT) AS "{t}"' for t in range(7)
-)
+PLANTED = """
+WITH t AS (
+  SELECT l_partkey AS gene_id, SUM(l_quantity) AS q, COUNT(*) AS n FROM lineitem GROUP BY l_partkey
+),
+l AS (
+  SELECT gene_id % 5 AS r, CAST(ROW_NUMBER() OVER (ORDER BY MIN(gene_id)) - 1 AS INTEGER) AS cluster
+  FROM t GROUP BY gene_id % 5
+),
+p AS (SELECT t.*, cluster, 1000000.0 * r + q AS level FROM t JOIN l ON gene_id % 5 = r)
+"""
 
 ORACLES: dict[str, str] = {
+    "planted_clusters": PLANTED + "SELECT gene_id, cluster FROM p",
+    "planted_centres": PLANTED
+    + f"""SELECT cluster, 0 AS slot, COUNT(*) AS n_entities, {r6("AVG(level)", "value")}
+FROM p GROUP BY cluster
+UNION ALL SELECT cluster, 1, COUNT(*), {r6("AVG(n)", "value")} FROM p GROUP BY cluster""",
+    "cluster_misplaced": """SELECT COUNT(*) AS n_entities, CAST(5 AS BIGINT) AS n_clusters,
+       CAST(0 AS BIGINT) AS n_misplaced FROM embeddings""",
+    "time_cluster_misplaced": with_(
+        X,
+        """SELECT LEAST(500, COUNT(DISTINCT gene_id)) AS n_entities, CAST(5 AS BIGINT) AS n_clusters,
+       CAST(0 AS BIGINT) AS n_misplaced FROM x""",
+    ),
     # ---- sources and sinks
     "sample_metadata_csv": with_(
         C,
@@ -241,7 +260,15 @@ FROM cells WHERE NOT blank""",
     "restrict_to": with_(
         TOP, "SELECT gene_id, sample_id, n FROM x WHERE gene_id IN (SELECT gene_id FROM top)"
     ),
-    "fill_missing": with_(C, f"SELECT gene_id, {BY_TIME} FROM c GROUP BY gene_id"),
+    "fill_missing": with_(
+        C,
+        """,
+g AS (SELECT DISTINCT gene_id FROM c),
+r AS (SELECT DISTINCT hrs AS t FROM c)
+SELECT g.gene_id, CAST(t AS VARCHAR) AS hrs, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n
+FROM g CROSS JOIN r
+LEFT JOIN c ON c.gene_id = g.gene_id AND c.hrs = t GROUP BY ALL""",
+    ),
     # ---- reshape
     "melt_matrix": with_(
         WIDE,
@@ -251,9 +278,10 @@ FROM w UNPIVOT INCLUDE NULLS (v FOR k IN ("A", "N", "R"))""",
     "melt_with_gaps": with_(
         C,
         """,
-g AS (SELECT DISTINCT gene_id FROM c)
+g AS (SELECT DISTINCT gene_id FROM c),
+r AS (SELECT DISTINCT hrs AS t FROM c)
 SELECT g.gene_id, CAST(t AS VARCHAR) AS hrs, CAST(SUM(n) AS BIGINT) AS n
-FROM g CROSS JOIN range(7) AS r(t)
+FROM g CROSS JOIN r
 LEFT JOIN c ON c.gene_id = g.gene_id AND c.hrs = t GROUP BY ALL""",
     ),
     "pivot_samples": with_(
@@ -263,19 +291,20 @@ FROM dense""",
     ),
     "pivot_time": with_(
         MEANS,
-        "SELECT gene_id, "
-        + ", ".join(
-            r6(f"COALESCE(MAX(CASE WHEN hrs = {t} THEN m END), 0.0)", f'"{t}"') for t in range(7)
-        )
-        + " FROM means GROUP BY gene_id",
+        f""",
+g AS (SELECT DISTINCT gene_id FROM means),
+r AS (SELECT DISTINCT hrs AS t FROM means)
+SELECT g.gene_id, CAST(t AS VARCHAR) AS hrs, {r6("COALESCE(MAX(m), 0.0)", "level")}
+FROM g CROSS JOIN r
+LEFT JOIN means ON means.gene_id = g.gene_id AND means.hrs = t GROUP BY g.gene_id, t""",
     ),
     "heat_matrix": with_(
         FC,
-        "SELECT gene_id, "
-        + ", ".join(r6(f"AVG(CASE WHEN hrs = {t} THEN fc END)", f'"{t}"') for t in range(1, 7))
-        + """ FROM fc WHERE gene_id IN (
-  SELECT gene_id FROM fc GROUP BY gene_id ORDER BY MAX(ABS(fc)) DESC, gene_id LIMIT 50
-) GROUP BY gene_id""",
+        f""",
+g AS (SELECT gene_id FROM fc GROUP BY gene_id ORDER BY MAX(ABS(fc)) DESC, gene_id LIMIT 50),
+r AS (SELECT DISTINCT hrs AS t FROM fc)
+SELECT g.gene_id, CAST(t AS VARCHAR) AS hrs, {r6("AVG(fc)", "log2fc")}
+FROM g CROSS JOIN r LEFT JOIN fc ON fc.gene_id = g.gene_id AND fc.hrs = t GROUP BY g.gene_id, t""",
     ),
     "assemble": with_(
         WIDE,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -202,11 +202,17 @@ def restrict_to(spark, sf):
     return jn.restrict_to(x, rk.top_variable(x, 100)).select("gene_id", "sample_id", "n")
 
 
+def time_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts with one column for every time that occurs, gaps null."""
+    c = fx.counts(spark, sf)
+    times = [r[0] for r in rk.time_axis(c, "hrs").collect()]
+    return rs.pivot_values(c, ["gene_id"], "hrs", times, "n", F.sum)
+
+
 @query
 def fill_missing(spark, sf):
-    c = fx.counts(spark, sf)
-    gaps = rs.pivot_values(c, ["gene_id"], "hrs", list(range(7)), "n", F.sum)
-    return rs.fill_missing(gaps, 0)
+    filled = rs.fill_missing(time_table(spark, sf), 0)
+    return filled.unpivot(["gene_id"], [c for c in filled.columns if c != "gene_id"], "hrs", "n")
 
 
 # ---- reshape -----------------------------------------------------------------------------------
@@ -219,9 +225,7 @@ def melt_matrix(spark, sf):
 
 @query
 def melt_with_gaps(spark, sf):
-    c = fx.counts(spark, sf)
-    gaps = rs.pivot_values(c, ["gene_id"], "hrs", list(range(7)), "n", F.sum)
-    return rs.melt_matrix(gaps, sample="hrs", count="n")
+    return rs.melt_matrix(time_table(spark, sf), sample="hrs", count="n")
 
 
 @query
@@ -240,18 +244,21 @@ def pivot_time(spark, sf):
     x = fx.normalized(spark, sf)
     times = [r[0] for r in rk.time_axis(x, "hrs").collect()]
     out = rs.pivot_time(ag.mean_by_time(x, t="hrs"), times, t="hrs")
-    return tidy(out, *[str(t) for t in times])
+    return tidy(out.unpivot(["gene_id"], [str(t) for t in times], "hrs", "level"), "level")
 
 
 @query
 def heat_matrix(spark, sf):
     out = plans.heat_matrix(changes(spark, sf), 50, t="hrs")
-    return tidy(out, *[c for c in out.columns if c != "gene_id"])
+    times = [c for c in out.columns if c != "gene_id"]
+    return tidy(out.unpivot(["gene_id"], times, "hrs", "log2fc"), "log2fc")
 
 
 @query
 def assemble(spark, sf):
-    return exploded(rs.assemble(fx.wide(spark, sf), ["A", "N", "R"]), ["gene_id"])
+    wide = fx.wide(spark, sf)
+    flags = [c for c in wide.columns if c != "gene_id"]
+    return exploded(rs.assemble(wide, flags), ["gene_id"])
 
 
 @query
@@ -354,18 +361,19 @@ def annotation_dynamics(spark, sf):
     return tidy(ag.annotation_dynamics(annotated, "process", "class", "hrs"), "mean_log2_cpm")
 
 
-def _dynamics(spark: SparkSession, sf: str) -> DataFrame:
-    return plans.dynamics(fx.normalized(spark, sf), fx.annotation(spark, sf), "process", "class", "hrs")
+def _dynamics(spark: SparkSession, sf: str, in_order: bool = True) -> DataFrame:
+    x, groups = fx.normalized(spark, sf), fx.annotation(spark, sf)
+    return plans.dynamics(x, groups, "process", "class", "hrs", in_order=in_order)
 
 
 @query
 def process_trajectory(spark, sf):
-    return tidy(ag.process_trajectory(_dynamics(spark, sf), "process", "hrs"), "mean_log2_cpm")
+    return tidy(ag.process_trajectory(_dynamics(spark, sf, False), "process", "hrs"), "mean_log2_cpm")
 
 
 @query
 def process_trajectory_weighted(spark, sf):
-    out = ag.process_trajectory(_dynamics(spark, sf), "process", "hrs", weighted=True)
+    out = ag.process_trajectory(_dynamics(spark, sf, False), "process", "hrs", weighted=True)
     return tidy(out, "mean_log2_cpm")
 
 
@@ -529,6 +537,41 @@ def cluster_entities(spark, sf):
     return ml.cluster_entities(fx.vectors(spark, sf), "vec_id", k=5).select("vec_id", "cluster")
 
 
+def planted(spark: SparkSession, sf: str) -> ml.Clusters:
+    """Five far groups by the remainder of the part key, with the line totals as noise."""
+    lines = fx.table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("gene_id"))
+    level = F.pmod("gene_id", F.lit(5)) * F.lit(1_000_000.0)
+    rows = lines.agg(F.sum("l_quantity").alias("q"), F.count("*").alias("n")).select(
+        "gene_id",
+        array_to_vector(F.array(level + F.col("q"), F.col("n").cast("double"))).alias("features"),
+    )
+    return ml.fit_clusters(rows, k=5)
+
+
+@query
+def planted_clusters(spark, sf):
+    return planted(spark, sf).rows.select("gene_id", "cluster")
+
+
+@query
+def planted_centres(spark, sf):
+    found = planted(spark, sf)
+    sizes = ag.cluster_sizes(found.rows, "cluster", "n_entities")
+    centres = found.centres.select("cluster", F.posexplode("centre").alias("slot", "value"))
+    return tidy(centres.join(sizes, "cluster"), "value")
+
+
+@query
+def cluster_misplaced(spark, sf):
+    return ml.misplaced(ml.fit_clusters(fx.vectors(spark, sf), "vec_id", k=5))
+
+
+@query
+def time_cluster_misplaced(spark, sf):
+    found = _clusters(spark, sf)
+    return ml.misplaced(ml.Clusters(found.vectors, found.centres))
+
+
 @query
 def silhouette(spark, sf):
     return tidy(ml.silhouette(fx.vectors(spark, sf), label="label"), "silhouette")
