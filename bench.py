@@ -3,7 +3,8 @@
 BENCH_SF_DIR  test tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
 BENCH_RUNS    timed runs per query, of which the median counts (default 3)
-BENCH_COPIES  copies of the counts for the scale-up runs (default "10,100"; "" skips them)
+BENCH_COPIES  copies of the counts for the scale-up runs (default "10,100"; "" skips them); they are
+              written to Parquet first and read by the timed runs
 """
 
 from __future__ import annotations
@@ -90,7 +91,9 @@ def main() -> None:
     counts = read_table(spark, spread)
     base = counts.count()
     for copies in COPIES:
-        many = replicate_rows(counts, copies)
+        copied = fixtures.scratch_path(spark, f"x{copies}")
+        write_table(replicate_rows(counts, copies), copied)
+        many = read_table(spark, copied)
         key = ["sample_id", "replica"]
 
         def run(many: DataFrame = many, key: list[str] = key) -> None:
