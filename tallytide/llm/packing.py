@@ -4,24 +4,25 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import islice
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallytide.llm.common import written
-from tallytide.llm.tokens import load
+from tallytide.llm.tokens import PLAIN_WORD, by_rank, load, rank_encoder
 
 CAPACITY = 2048
 END_ID = 0
-CACHED = 400_000
-RANKED_TOGETHER = 50_000
+CACHED = 800_000
+RANKED_TOGETHER = 2000
+WHITE = [c for c in map(chr, range(0x3001)) if c.isspace()]
 
 
 class ChunkIds(dict):
@@ -31,21 +32,53 @@ class ChunkIds(dict):
     another character than white space, so such chunks can be encoded one by one.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranked: bool):
         super().__init__()
         self.tokenizer = load(path)
+        self.words = rank_encoder(path) if ranked else None
+        self.parts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def word(self, word: str) -> bytes:
+        """A pre-token by rank; marks and words recur in many chunks."""
+        ids = self.parts.get(word)
+        if ids is None:
+            ids = self.parts[word] = _packed(self.words.encode_ordinary(word))
+        return ids
+
+    def plain(self, chunk: str) -> bytes | None:
+        """Ids of plain words with single line breaks between them, each of which is a pre-token."""
+        ids = []
+        for i, line in enumerate(chunk.split("\n")):
+            found = PLAIN_WORD.fullmatch(line)
+            if not found:
+                return None
+            word, marks = found.groups()
+            if i:
+                ids.append(self.word("\n"))
+            ids.append(self.word(word if i else " " + word))
+            if marks:
+                ids.append(self.word(marks))
+        return b"".join(ids)
+
     def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self]
-        if len(self) + len(new) > CACHED:
+        if len(self) > CACHED:
             self.clear()
-            new = list(chunks)
-        todo = iter(new)
-        while part := list(islice(todo, 4096)):
-            coded = self.tokenizer.encode_batch([" " + c for c in part], add_special_tokens=False)
+            self.parts.clear()
+        other = []
+        for chunk in chunks.difference(self):
+            ids = self.plain(chunk) if self.words else None
+            if ids is None:
+                other.append(chunk)
+            else:
+                self[chunk] = ids
+        rest = iter(other)
+        while part := list(islice(rest, 4096)):
+            coded = self.tokenizer.encode_batch_fast(
+                [" " + c for c in part], add_special_tokens=False
+            )
             self.update((c, _packed(e.ids)) for c, e in zip(part, coded, strict=True))
 
     def text(self, text: str) -> bytes:
@@ -54,13 +87,14 @@ class ChunkIds(dict):
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def splits_at_spaces(text: str) -> bool:
     """Whether every space stands between two other characters than white space."""
-    chunks = text.split(" ")
-    return all(c and not c[0].isspace() and not c[-1].isspace() for c in chunks)
+    if text[:1].isspace() or text[-1:].isspace():
+        return False
+    return not any(w in text and (f" {w}" in text or f"{w} " in text) for w in WHITE)
 
 
 def encode_pieces(batch: pa.RecordBatch, chunks: ChunkIds, capacity: int) -> dict[str, list]:
@@ -110,9 +144,10 @@ def token_pieces(
     """(doc_id, piece, start, length, ids_crc32, row) of every text with the end id appended."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    ranked = by_rank(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = ChunkIds(tokenizer)
+        chunks = ChunkIds(tokenizer, ranked)
         for batch in batches:
             out = encode_pieces(batch, chunks, capacity)
             ids = batch.column("doc_id").take(pa.array(out["at"], pa.int64()))

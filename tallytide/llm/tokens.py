@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 
+import tiktoken
 from tokenizers import Tokenizer
 
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: A word of Latin letters with a few marks after it. Every split pattern with letters and marks in
+#: classes of their own cuts it between the two and nowhere else.
+PLAIN_WORD = re.compile(f"([{LATIN}]+)([.,;:!?$%&*#|]{{0,3}})")
+
 
 def load(path: str) -> Tokenizer:
     """The tokenizer of a file, working on the task's own thread."""
@@ -18,3 +26,53 @@ def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def _alphabet() -> dict[str, int]:
+    """The printable stand-ins of byte-level BPE: bytes that print stand for themselves, the others
+    for the code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def merge_ranks(path: str) -> tuple[dict[bytes, int], list[tuple[bytes, bytes]]]:
+    """Token bytes to id, and the merges in order, of a byte-level BPE file."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    model, letters = content["model"], _alphabet()
+    added = {t["content"] for t in content["added_tokens"]}
+    spell = lambda token: bytes(letters[c] for c in token)
+    ranks = {spell(t): i for t, i in model["vocab"].items() if t not in added}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    return ranks, [(spell(a), spell(b)) for a, b in pairs]
+
+
+def by_rank(path: str) -> bool:
+    """Whether merging by the ids of joined tokens gives what the file's list of merges gives.
+
+    That holds when ids follow the merges and every merged token, cut by the merges before it, ends
+    as the two parts its own merge names: then no other pair can ever stand where it would be joined.
+    """
+    ranks, merges = merge_ranks(path)
+    for i, (a, b) in enumerate(merges):
+        whole = a + b
+        own = ranks.get(whole)
+        if own != 256 + i:
+            return False
+        parts = [whole[k : k + 1] for k in range(len(whole))]
+        while True:
+            found = [ranks.get(x + y, own) for x, y in zip(parts, parts[1:], strict=False)]
+            at = min(range(len(found)), key=found.__getitem__, default=None)
+            if at is None or found[at] >= own:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        if parts != [a, b]:
+            return False
+    return True
+
+
+def rank_encoder(path: str) -> tiktoken.Encoding:
+    """An encoder that takes its whole input for one pre-token; only for files that are ``by_rank``."""
+    ranks, _ = merge_ranks(path)
+    return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
