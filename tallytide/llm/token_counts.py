@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallytide.llm.common import unit_hash
-from tallytide.llm.tokens import load
+from tallytide.llm.tokens import LATIN, PLAIN_WORD, load
 
 SAMPLE_DOCS = 20_000
 COMMON = 200_000
-CACHED = 300_000
+CACHED = 500_000
 ROWS_AT_ONCE = 100_000
 #: White space at which every tokenizer with a white-space rule splits.
 CHUNK = re.compile(r"[^ \t\n\r\f\v]+")
@@ -37,6 +37,9 @@ class Chunks(dict):
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))))
         self.has_added = bool(added)
+        # What the tokenizer makes of each single letter; words of them are made letter by letter.
+        letters = re.findall(f"[{LATIN}]", "".join(map(chr, range(256))))
+        self.letters = {ord(c): self.pre_tokens(c)[1][0] for c in letters}
 
     def pre_tokens(self, chunk: str) -> tuple[int, list[str]]:
         """Number of added tokens, and the pre-tokens of the text around them."""
@@ -49,7 +52,12 @@ class Chunks(dict):
         return found, [p for part in parts if part for p, _ in split(normalize(part))]
 
     def __missing__(self, chunk: str) -> tuple[int, tuple[str, ...]]:
-        pieces, tokens = self.pre_tokens(chunk)
+        plain = PLAIN_WORD.fullmatch(chunk)
+        if plain:
+            pieces, tokens = 0, [plain[1].translate(self.letters), plain[2]]
+            tokens = tokens if plain[2] else tokens[:1]
+        else:
+            pieces, tokens = self.pre_tokens(chunk)
         rare = []
         for token in tokens:
             known = self.common.get(token)
