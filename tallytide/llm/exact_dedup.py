@@ -63,7 +63,7 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     Texts are equal when identical after lower-casing A-Z; the row with the largest id stays. Rows of
     frequent digests meet their winner by a broadcast of at most ``MAX_FREQUENT`` rows and are not
-    shuffled; the groups that are left hold less than one row in about ``TRACKED`` each and are
+    shuffled; the groups that are left hold at most about one row in ``MAX_FREQUENT`` each and are
     shuffled once as (id, digest).
 
     Null and empty texts are one group. A null id is below all others. Of rows that repeat id and
@@ -83,6 +83,11 @@ def _duplicates(digests: Digests) -> DataFrame:
     return _judged(marked.filter("group_size IS NOT NULL")).unionByName(_judged(rest))
 
 
+def _id_text(doc_id: str) -> F.Column:
+    """An id as text that no null id shares."""
+    return F.coalesce(F.concat(F.lit("="), F.col(doc_id).cast("string")), F.lit(""))
+
+
 def drop_exact_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -96,15 +101,9 @@ def drop_exact_duplicates(
     loser = ~F.col("doc_id").eqNullSafe(F.col("keep_id"))
     key = ["__id", "__digest"]
     lost = judged.filter(loser).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__id"),
-        F.col("text_sha256").alias("__digest"),
-    )
-    named = docs.withColumns(
-        {
-            "__id": F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
-            "__digest": text_digest(text),
-        }
+        _id_text("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")
     )
+    named = docs.withColumns({"__id": _id_text(doc_id), "__digest": text_digest(text)})
     kept = lookup_join(named, lost.distinct(), key, "left_anti")
     if not judged.filter(~loser & ~F.col("kept")).isEmpty():
         kept = kept.dropDuplicates(key)

@@ -108,6 +108,12 @@ def test_odd_rows_have_components(odd, empty):
     assert kept.columns == odd.columns and kept.filter("doc_id = 2").count() == 0
 
 
+def test_null_ids_are_not_the_text_null(spark):
+    docs = spark.createDataFrame([("null", "a"), (None, "a"), (None, "b")], "doc_id string, text string")
+    kept = drop_exact_duplicates(docs).collect()
+    assert sorted(kept, key=lambda r: r.text) == [("null", "a"), (None, "b")]
+
+
 def test_components_of_chains_stars_and_rings(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(0, i) for i in range(1, 50)]
