@@ -71,7 +71,8 @@ def attach_baseline(
 
     ``means`` has one row per entity and time, so a window holds at most one row per time point
     however many samples an entity was measured in. Entities without a baseline row drop out; a
-    baseline row with a null level stays a row.
+    baseline row with a null level stays a row. Where another column splits the baseline time of an
+    entity into several rows, the largest level counts.
     """
     at_start = F.when(F.col(t) == baseline, F.struct(F.col(value).alias("level")))
     return (

@@ -8,7 +8,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, PCAModel, StandardScaler
+from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +37,18 @@ def standardize(
     return lookup_join(df, stats, by, rows="__rows").withColumn(out, z).drop("__mean", "__sd")
 
 
+def fit_scaler(
+    df: DataFrame, vector: str = "features", out: str = "scaled_features"
+) -> StandardScalerModel:
+    """Means and sample deviations of every vector slot."""
+    return StandardScaler(inputCol=vector, outputCol=out, withMean=True, withStd=True).fit(df)
+
+
 def standardize_vectors(
     df: DataFrame, vector: str = "features", out: str = "scaled_features"
 ) -> DataFrame:
     """Every vector slot to mean 0 and sample deviation 1."""
-    scaler = StandardScaler(inputCol=vector, outputCol=out, withMean=True, withStd=True)
-    return scaler.fit(df).transform(df)
+    return fit_scaler(df, vector, out).transform(df)
 
 
 def fit_pca(df: DataFrame, vector: str = "features", k: int = 5) -> tuple[PCAModel, DataFrame]:

@@ -2,7 +2,7 @@ from tallytide.plans.change import changed_entities, fold_change, fold_change_fo
 from tallytide.plans.clustering import ClusterResult, cluster_time_profiles, time_profiles
 from tallytide.plans.ingest import ingest, ingest_files, ingest_long
 from tallytide.plans.normalize import normalize
-from tallytide.plans.projection import PcaResult, sample_pca, sample_vectors
+from tallytide.plans.projection import PcaResult, sample_pca, sample_vectors, score_samples
 from tallytide.plans.trajectories import dynamics
 
 __all__ = [
@@ -20,5 +20,6 @@ __all__ = [
     "normalize",
     "sample_pca",
     "sample_vectors",
+    "score_samples",
     "time_profiles",
 ]

@@ -19,6 +19,7 @@ from tallytide.plans import (
     cluster_time_profiles,
     normalize,
     sample_pca,
+    score_samples,
     sample_vectors,
     time_profiles,
 )
@@ -103,6 +104,15 @@ def test_pca_invariants(vectors):
     assert np.allclose(coords[:, 1:], data @ signed)
 
 
+def test_samples_are_placed_in_a_fitted_space(x):
+    result = sample_pca(x, 50, 3, 2, KEYS)
+    some = [r["sample_id"] for r in x.select("sample_id").distinct().orderBy("sample_id").limit(3).collect()]
+    part = x.filter(F.col("sample_id").isin(some))
+    want = [r for r in rows(result.coordinates) if r[0] in some]
+    for a, b in zip(want, rows(score_samples(result, part, 2, KEYS)), strict=True):
+        assert a[:3] == b[:3] and np.allclose(a[3:], b[3:])
+
+
 def test_pca_ignores_the_input_split(x):
     want = sample_pca(x, 50, 3, 2, KEYS).coordinates
     again = sample_pca(x.repartition(13), 50, 3, 2, KEYS).coordinates
