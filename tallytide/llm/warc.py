@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallytide.llm.common import scratch_path
+from tallytide.llm.common import scratch_path, written
 from tallytide.operators.sizing import lookup_join
 
 VERSION = "WARC/1.1"
@@ -274,7 +274,8 @@ def archive_round_trip(
     spark = pages.sparkSession
     path = scratch_path(spark, "archives")
     write_archives(pages, path, page_id, url, html, least_bytes)
-    captures = assemble(read_archives(spark, path)).withColumns(
+    records = written(read_archives(spark, path), "records")
+    captures = assemble(records).withColumns(
         {
             "page_id": F.col("metadata.fields").getItem("page-id").cast(pages.schema[page_id].dataType),
             "payload_bytes": F.col("metadata.fields").getItem("payload-bytes").cast("bigint"),
