@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallytide.llm.common import written
 from tallytide.llm.components import connected_components
-from tallytide.operators.sizing import lookup_join
+from tallytide.operators.sizing import lookup_join, split_join
 
 BITS = 64
 SEED = 42
@@ -108,7 +108,8 @@ def _leader_links(nodes: DataFrame, max_bits: int) -> DataFrame:
     """Verified links to a few leaders of each whole-segment bucket.
 
     They thin out dense groups before pairs are looked for: what a leader already connects needs no
-    pair of its own. Links missed here are found by the wildcard join.
+    pair of its own. Links missed here are found by the wildcard join. A bucket with very many
+    fingerprints is spread over several tasks.
     """
     parts = segments(max_bits)
     keys = F.array(
@@ -126,8 +127,9 @@ def _leader_links(nodes: DataFrame, max_bits: int) -> DataFrame:
         ).alias("leaders"),
         F.count("*").alias("n"),
     )
-    leaders = written(leaders.filter("n > 1").drop("n"), "leaders")
-    links = index.join(leaders, "key").select("fp", F.explode("leaders").alias("leader"))
+    leaders = written(leaders.filter("n > 1"), "leaders")
+    met = split_join(index, leaders.drop("n"), "key", weights=leaders.select("key", "n"), rows="n")
+    links = met.select("fp", F.explode("leaders").alias("leader"))
     near = (F.col("fp") != F.col("leader")) & (F.bit_count(_differing("fp", "leader")) <= max_bits)
     return links.filter(near).select(F.col("fp").alias("u"), F.col("leader").alias("v"))
 

@@ -8,7 +8,14 @@ import xxhash
 
 from tallytide.llm.components import connected_components
 from tallytide.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
-from tallytide.llm.simhash import drop_near_duplicates, fingerprint, near_duplicates, wildcard_index
+from tallytide.llm.simhash import (
+    FLIPS,
+    _leader_links,
+    drop_near_duplicates,
+    fingerprint,
+    near_duplicates,
+    wildcard_index,
+)
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -94,6 +101,24 @@ def test_every_close_pair_shares_a_key(spark):
         assert wildcard_index(nodes, 4).join(theirs, "key").count() > 0
 
 
+def test_leaders_of_a_crowded_bucket(spark):
+    """Every fingerprint shares one segment, so its bucket is spread; links are those of the rule."""
+    prints = [0x15555 + (i % 64 << 22) + (i // 64 << 45) for i in range(1500)]
+    nodes = spark.createDataFrame([(p,) for p in prints], "fp bigint").repartition(8)
+    found = {(r.u, r.v) for r in _leader_links(nodes, 4).collect()}
+    buckets = collections.defaultdict(list)
+    for p in prints:
+        for i, (low, high) in enumerate(((0, 21), (21, 42), (42, 64))):
+            buckets[i, p >> low & (1 << (high - low)) - 1].append(p)
+    expected = set()
+    for members in buckets.values():
+        leaders = {pick(m ^ flip for m in members) ^ flip for flip in FLIPS for pick in (min, max)}
+        expected |= {
+            (m, a) for m in members for a in leaders if m != a and (m ^ a).bit_count() <= 4 and len(members) > 1
+        }
+    assert found == expected
+
+
 def test_odd_rows_have_components(odd, empty):
     found = near_duplicates(odd).collect()
     assert len(found) == odd.count()
