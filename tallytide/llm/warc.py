@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import io
 from collections.abc import Iterator
 from typing import BinaryIO
@@ -21,6 +23,8 @@ BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 RECORDS_AT_ONCE = 256
+#: Records of one archive file at most, since a task reads a file whole.
+RECORDS_PER_FILE = 30_000
 RECORD = (
     "type string, record_id string, concurrent_to string, refers_to string, target string, "
     "date string, payload_digest string, fields map<string,string>, payload binary, sound boolean"
@@ -64,9 +68,9 @@ def write_archives(
 
     Of pages with equal payloads of at least ``least_bytes`` the one with the largest id (then url)
     is the response, the others revisit it. Files are gzipped text whose line separator is the end
-    mark of a record; each is as large as one task's part of the pages. The winners of payloads meet
-    the pages by a broadcast when they measure small, else by a join that spreads a payload shared by
-    many pages.
+    mark of a record, of ``RECORDS_PER_FILE`` records at most. The winners of payloads meet the pages
+    by a broadcast when they measure small, else by a join that spreads a payload shared by many
+    pages.
     """
     address = F.regexp_replace(F.coalesce(F.col(url).cast("string"), F.lit("")), "[\r\n]", "")
     rows = pages.select(
@@ -146,7 +150,8 @@ def write_archives(
         ),
     ]
     lines = rows.select(F.explode(F.array(*records)).alias("value"))
-    lines.write.option("lineSep", END).option("compression", "gzip").text(path)
+    writer = lines.write.option("lineSep", END).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def _headers(stream: BinaryIO) -> dict[str, str] | None:
@@ -170,8 +175,18 @@ def _fields(block: bytes) -> dict[str, str]:
     return {k.strip(): v.strip() for k, _, v in (line.partition(":") for line in lines) if k}
 
 
+def _intact(payload: bytes | None, digest: str | None) -> bool:
+    """Whether a payload has the SHA-1 its header states; without either there is nothing to say."""
+    if payload is None or not (digest or "").startswith("sha1:"):
+        return True
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest[5:]
+
+
 def read_records(content: bytes) -> Iterator[dict]:
-    """The records of one archive file, gzipped as a whole or record by record, or plain."""
+    """The records of one archive file, gzipped as a whole or record by record, or plain.
+
+    A record is ``sound`` when its block is complete and its payload has the digest of its header.
+    """
     raw: BinaryIO = io.BytesIO(content)
     stream = gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw
     while (head := _headers(stream)) is not None:
@@ -192,7 +207,7 @@ def read_records(content: bytes) -> Iterator[dict]:
             "payload_digest": head.get("warc-payload-digest"),
             "fields": list(_fields(block).items()) if kind == "metadata" else None,
             "payload": payload,
-            "sound": len(block) == size,
+            "sound": len(block) == size and _intact(payload, head.get("warc-payload-digest")),
         }
 
 

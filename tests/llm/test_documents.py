@@ -10,7 +10,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallytide.llm import queries
+from tallytide.llm import queries, warc
 from tallytide.llm.merkle import changed_sections, edit_likeness, fingerprints
 from tallytide.llm.secret_scan import scan_secrets, summarize
 from tallytide.llm.warc import archive_round_trip, read_records
@@ -89,6 +89,22 @@ def test_records_gzipped_one_by_one_are_read():
         assert [r["payload"] for r in read_records(content)] == [b"hello", b"hello"]
 
 
+def test_a_changed_payload_is_not_sound():
+    digest = base64.b32encode(hashlib.sha1(b"hello").digest())
+    head = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Payload-Digest: sha1:" + digest + b"\r\nContent-Length: 5\r\n\r\n"
+    records = read_records(head + b"hello\r\n\r\n" + head + b"jello\r\n\r\n" + head + b"hel")
+    assert [r["sound"] for r in records] == [True, False, False]
+
+
+def test_archive_files_hold_a_bounded_number_of_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 30)
+    pages = spark.range(100).selectExpr("id AS page_id", "'u' AS url", "concat('p', id) AS html").coalesce(1)
+    warc.write_archives(pages, str(tmp_path / "a"))
+    assert len(list((tmp_path / "a").glob("*.gz"))) == 10
+    records = warc.read_archives(spark, str(tmp_path / "a"))
+    assert records.count() == 300 and records.filter("NOT sound").count() == 0
+
+
 def test_edited_texts_match_brute_force(odd, documents, empty):
     docs = sorted(((r.doc_id, r.text) for r in documents.collect()), reverse=True)
     found = {r.doc_id: r for r in edit_likeness(documents).collect()}
