@@ -20,7 +20,7 @@ from tallytide.llm.tokens import PLAIN_WORD, by_rank, load, rank_encoder
 
 CAPACITY = 2048
 END_ID = 0
-#: Chunks a task keeps ids of; more of them took more memory and no less time.
+#: Chunks a task keeps ids of, which bounds its memory; on running out it starts anew.
 CACHED = 150_000
 ROWS_AT_ONCE = 512
 RANKED_TOGETHER = 2000
