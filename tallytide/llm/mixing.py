@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,10 @@ KEEP_SHARE = 0.7
 MAX_SWEEPS = 20
 TOLERANCE = 1e-4
 NULL_NAME = "\x00null"
+#: How far above its tokens the weight of a cell may rise while weights are bounded.
+HIGHEST = 1e6
+#: Up to so many cells the bounded sweeps run on the driver, where a sweep costs no job.
+CELLS_ON_DRIVER = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -69,7 +75,19 @@ def rake(
     empty cells cannot all be met. Weights sum to 1. All of it runs on the table of cells, which may
     have any number of sources.
     """
-    wanted = {d: _targets(cells, d, (targets or {}).get(d), smoothing) for d in dims}
+    return _raked(cells, dims, _wanted(cells, dims, targets, smoothing))
+
+
+def _wanted(
+    cells: DataFrame,
+    dims: Sequence[str],
+    targets: Mapping[str, Mapping[str, float]] | None,
+    smoothing: float,
+) -> dict[str, DataFrame]:
+    return {d: _targets(cells, d, (targets or {}).get(d), smoothing) for d in dims}
+
+
+def _raked(cells: DataFrame, dims: Sequence[str], wanted: Mapping[str, DataFrame]) -> DataFrame:
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     fitted = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
     for _ in range(MAX_SWEEPS):
@@ -113,6 +131,111 @@ def _rate(cells: DataFrame, budget: float) -> float:
         rate = found
 
 
+def _goals(
+    cells: DataFrame, dims: Sequence[str], wanted: Mapping[str, DataFrame], budget: float
+) -> tuple[dict[str, DataFrame], float]:
+    """Per dimension (dim, goal): the tokens to sample of each value, and the budget they sum to.
+
+    A value gives no more than all its tokens. What its target asks beyond goes to the other values
+    in proportion to theirs. The budget falls to what the values with a target hold, if that is less.
+    """
+    sides = {}
+    for dim in dims:
+        seen = cells.groupBy(dim).agg(F.sum("tokens").alias("tokens")).join(wanted[dim], dim)
+        factor = F.when(F.col("tokens") > 0, F.col("target") / F.col("tokens")).otherwise(0.0)
+        sides[dim] = written(seen.withColumn("factor", factor), "sides")
+        held = sides[dim].filter("factor > 0").agg(F.sum("tokens")).first()[0]
+        budget = min(budget, float(held or 0))
+    goals = {}
+    for dim, side in sides.items():
+        share = F.least(F.lit(1.0), F.col("factor") * F.lit(_rate(side, budget)))
+        goals[dim] = side.select(dim, (F.col("tokens") * share).alias("goal"))
+    return goals, budget
+
+
+def _bounded(
+    fitted: DataFrame, dims: Sequence[str], goals: Mapping[str, DataFrame], budget: float
+) -> DataFrame:
+    """Raked cells with ``probability``, at most 1, by which each dimension's goals are expected.
+
+    Raking goes on with a bound: a cell counts with its weight but no more than its tokens. A sweep
+    takes one step to each dimension's goals. Below a goal only the cells under the bound can give
+    more, and the step, which spreads the rest over them, never goes too far; above a goal all cells
+    of the value are scaled, which never goes too far either. Sweeps end when no probability moved by
+    more than ``TOLERANCE``, or after ``MAX_SWEEPS``: goals of several dimensions that no sample has
+    together cannot all be met, and the last dimension comes nearest. The rate then restores the
+    budget. Sweeps are the same on the driver, for ``CELLS_ON_DRIVER`` cells at most, and as jobs.
+    """
+    few = fitted.limit(CELLS_ON_DRIVER + 1).count() <= CELLS_ON_DRIVER
+    bounded = (_swept_here if few else _swept)(fitted, dims, goals, budget)
+    lift = F.when(F.col("tokens") > 0, F.col("open") / F.col("tokens")).otherwise(0.0)
+    lifted = bounded.withColumn("lift", lift).drop("open")
+    rate = _rate(lifted.select("tokens", F.col("lift").alias("factor")), budget)
+    return lifted.withColumn("probability", F.least(F.lit(1.0), F.col("lift") * F.lit(rate)))
+
+
+def _swept_here(
+    fitted: DataFrame, dims: Sequence[str], goals: Mapping[str, DataFrame], budget: float
+) -> DataFrame:
+    rows = fitted.collect()
+    tokens = np.array([r["tokens"] for r in rows], dtype=float)
+    weight = np.array([r["weight"] for r in rows], dtype=float) * budget
+    sides = []
+    for dim in dims:
+        goal = {r[dim]: r["goal"] for r in goals[dim].collect()}
+        place = {value: i for i, value in enumerate({r[dim] for r in rows})}
+        at = np.array([place[r[dim]] for r in rows], dtype=int)
+        sides.append((at, np.array([goal.get(value) or 0.0 for value in place])))
+    for _ in range(MAX_SWEEPS):
+        before = np.minimum(weight, tokens)
+        for at, goal in sides:
+            full = weight >= tokens
+            fixed = np.bincount(at, np.where(full, tokens, 0.0), len(goal))
+            rest = np.bincount(at, np.where(full, 0.0, weight), len(goal))
+            given = fixed + rest
+            ratio = np.ones(len(goal))
+            np.divide(goal - fixed, rest, out=ratio, where=rest > 0)
+            np.divide(goal, given, out=ratio, where=given > goal)
+            weight = np.minimum(weight * ratio[at], tokens * HIGHEST)
+        if (np.abs(np.minimum(weight, tokens) - before) <= TOLERANCE * tokens).all():
+            break
+    swept = [(*r, w) for r, w in zip(rows, weight.tolist(), strict=True)]
+    schema = fitted.withColumn("open", F.lit(0.0)).schema
+    return written(fitted.sparkSession.createDataFrame(swept, schema), "bounded")
+
+
+def _swept(
+    fitted: DataFrame, dims: Sequence[str], goals: Mapping[str, DataFrame], budget: float
+) -> DataFrame:
+    bounded = fitted.withColumn("open", F.col("weight") * F.lit(budget))
+    for _ in range(MAX_SWEEPS):
+        moved = bounded.withColumn("before", F.least("open", "tokens"))
+        for dim in dims:
+            full = F.col("open") >= F.col("tokens")
+            sums = moved.groupBy(dim).agg(
+                F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("fixed"),
+                F.sum(F.when(full, 0.0).otherwise(F.col("open"))).alias("rest"),
+            )
+            given = F.col("fixed") + F.col("rest")
+            goal = F.coalesce("goal", F.lit(0.0))
+            ratio = sums.join(goals[dim], dim, "left").select(
+                dim,
+                F.when(given > goal, goal / given)
+                .when(F.col("rest") > 0, (goal - F.col("fixed")) / F.col("rest"))
+                .otherwise(1.0)
+                .alias("ratio"),
+            )
+            raised = F.least(F.col("open") * F.col("ratio"), F.col("tokens") * F.lit(HIGHEST))
+            moved = moved.join(ratio, dim).withColumn("open", raised).drop("ratio")
+        moved = written(moved, "bounded")
+        step = F.abs(F.least("open", "tokens") - F.col("before"))
+        done = moved.filter(step > F.lit(TOLERANCE) * F.col("tokens")).isEmpty()
+        bounded = moved.drop("before")
+        if done:
+            break
+    return bounded
+
+
 def mix(
     docs: DataFrame,
     dims: Mapping[str, Column],
@@ -127,12 +250,16 @@ def mix(
 
     ``dims`` names the marginals (source, language, topic) and how each row gets its value. Token
     weights are raked to ``targets`` per dimension; without any, to the observed shares raised to
-    ``smoothing``, which lifts small sources. A document's probability is its cell's factor (raked
-    over observed weight) times the rate at which ``keep_share`` of all tokens is expected, at
-    most 1. It is sampled when a hash of id and seed lies below.
+    ``smoothing``, which lifts small sources. ``factor`` is a cell's raked over its observed weight.
+
+    ``keep_share`` of all tokens is expected to be sampled. Since no document is taken twice, a value
+    whose target is more than all its tokens gives these, and the rest of its target goes to the
+    others of its dimension; cells are raked again to the shares that are left, with a probability
+    of at most 1 (``_bounded``). ``shares`` has the target beside what is expected and sampled. A
+    document is sampled when a hash of id and seed lies below its cell's probability.
 
     A null dimension value is a value of its own. Null and empty texts have no tokens and take their
-    cell's probability. Rows that repeat an id are sampled together, null ids like one id. Columns
+    cell's probability, which is ``keep_share`` in a cell without any tokens. Rows that repeat an id are sampled together, null ids like one id. Columns
     of the same names as the added ones are replaced. An empty table gives an empty result.
     """
     filled = {d: F.coalesce(c.cast("string"), F.lit(NULL_NAME)) for d, c in dims.items()}
@@ -144,17 +271,20 @@ def mix(
         "cells",
     )
     stated = {f"__{d}": t for d, t in (targets or {}).items()}
-    fitted = rake(cells, names, stated, smoothing)
+    wanted = _wanted(cells, names, stated, smoothing)
+    fitted = _raked(cells, names, wanted)
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     share = F.col("tokens") / F.lit(float(total or 1))
     fitted = fitted.withColumn(
         "factor", F.when(F.col("tokens") > 0, F.col("weight") / share).otherwise(1.0)
     )
-    rate = _rate(fitted, keep_share * total)
+    goals, budget = _goals(cells, names, wanted, keep_share * total)
+    fitted = _bounded(fitted, names, goals, budget)
+    bare = F.lit(float(min(keep_share, 1.0)))
     side = fitted.select(
         *names,
         F.col("factor").alias("__factor"),
-        F.least(F.lit(1.0), F.col("factor") * F.lit(rate)).alias("__probability"),
+        F.when(F.col("tokens") > 0, F.col("probability")).otherwise(bare).alias("__probability"),
         F.col("docs").alias("__docs"),
     )
     joined = lookup_join(rows, side, names, rows="__docs")
@@ -174,3 +304,41 @@ def sample_mix(docs: DataFrame, dims: Mapping[str, Column], tokens: Column, **op
     wanted = {f"__mix_{d}": c for d, c in dims.items()}
     mixed = mix(docs, wanted, tokens, **options)
     return mixed.filter("sampled").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def shares(
+    mixed: DataFrame,
+    dims: Sequence[str],
+    targets: Mapping[str, Mapping[str, float]] | None = None,
+    smoothing: float = SMOOTHING,
+) -> DataFrame:
+    """(dimension, value, observed, target, expected, sampled): token shares of a result of ``mix``.
+
+    ``targets`` and ``smoothing`` are those it was mixed with. ``expected`` follows from the
+    probabilities, ``sampled`` from the draw; all four sum to 1 over the values of a dimension.
+    """
+    parts = []
+    for dim in dims:
+        tokens = F.col("n_tokens")
+        sums = written(
+            mixed.groupBy(F.coalesce(F.col(dim).cast("string"), F.lit(NULL_NAME)).alias("value")).agg(
+                F.sum(tokens).alias("tokens"),
+                F.sum(tokens * F.col("probability")).alias("expected"),
+                F.sum(F.when(F.col("sampled"), tokens).otherwise(0)).alias("sampled"),
+            ),
+            "shares",
+        )
+        wanted = _targets(sums, "value", (targets or {}).get(dim), smoothing)
+        totals = sums.agg(*[F.sum(c).alias(c) for c in sums.columns[1:]]).first()
+        share = {c: F.col(c) / F.lit(float(totals[c] or 1)) for c in sums.columns[1:]}
+        parts.append(
+            sums.join(wanted, "value", "left").select(
+                F.lit(dim).alias("dimension"),
+                F.nullif(F.col("value"), F.lit(NULL_NAME)).alias("value"),
+                share["tokens"].alias("observed"),
+                F.coalesce("target", F.lit(0.0)).alias("target"),
+                share["expected"].alias("expected"),
+                share["sampled"].alias("sampled"),
+            )
+        )
+    return reduce(DataFrame.unionAll, parts)

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallytide.llm import mixing
 from tallytide.llm.language import identify_languages, keep_identified
-from tallytide.llm.mixing import NULL_NAME, layout_topic, mix, rake, sample_mix, word_count
+from tallytide.llm.mixing import NULL_NAME, layout_topic, mix, rake, sample_mix, shares, word_count
 from tallytide.llm.toxicity import detect_toxicity
 
 
@@ -65,6 +66,39 @@ def test_stated_targets(spark):
     assert out["a", "x"] + out["b", "x"] == pytest.approx(0.25, rel=1e-3)
 
 
+def test_sampled_shares_meet_targets_that_can_be_met(spark):
+    sizes = {("a", "x"): 6000, ("a", "y"): 1000, ("b", "x"): 2000, ("b", "y"): 1000}
+    rows = [(s, l) for (s, l), n in sizes.items() for _ in range(n)]
+    docs = spark.createDataFrame([(i, s, l, "w") for i, (s, l) in enumerate(rows)], "doc_id bigint, source string, lang string, text string")
+    targets = {"source": {"a": 1, "b": 1}, "lang": {"x": 3, "y": 2}}
+    out = mix(docs, dimensions(), word_count(F.col("text")), keep_share=0.45, targets=targets).cache()
+    assert out.filter("probability = 1").count() == 1000 and out.filter("probability > 1").count() == 0
+    found = shares(out, list(dimensions()), targets).collect()
+    assert {(r.value, round(r.target, 6)) for r in found} == {("a", 0.5), ("b", 0.5), ("x", 0.6), ("y", 0.4)}
+    for r in found:
+        assert r.expected == pytest.approx(r.target, abs=1e-3) and r.sampled == pytest.approx(r.target, abs=0.02)
+
+
+def test_targets_beyond_all_tokens_are_met_as_far_as_they_go(documents):
+    out = mix(documents, dimensions(), word_count(F.col("text"))).cache()
+    found = shares(out, list(dimensions())).collect()
+    for dim in dimensions():
+        mine = [r for r in found if r.dimension == dim]
+        rate = lambda x: sum(min(r.observed / 0.7, x * r.target) for r in mine)
+        low, high = 0.0, 100.0
+        for _ in range(100):
+            low, high = ((low + high) / 2, high) if rate((low + high) / 2) < 1 else (low, (low + high) / 2)
+        for r in mine:
+            assert r.expected == pytest.approx(min(r.observed / 0.7, high * r.target), abs=3e-3)
+
+
+def test_sweeps_as_jobs_give_what_the_driver_gives(documents, monkeypatch):
+    weights = lambda: {r.doc_id: r.probability for r in mix(documents, dimensions(), word_count(F.col("text"))).collect()}
+    here = weights()
+    monkeypatch.setattr(mixing, "CELLS_ON_DRIVER", 0)
+    assert weights() == pytest.approx(here, abs=1e-9)
+
+
 def test_odd_rows_are_mixed(odd, empty):
     dims = dimensions() | {"topic": layout_topic(F.col("text"))}
     out = mix(odd, dims, word_count(F.col("text")))
