@@ -12,7 +12,7 @@ from tallytide.operators.sizing import lookup_join
 #: without line breaks has branches too. Both cuts drop one known character, so none is lost.
 SECTION = "\n"
 PARAGRAPH = r"(?<=[^\p{L}\p{N}\s]) "
-#: Low bits of a leaf's code that hold its length.
+#: Low bits of a code that hold a length; a longer leaf has several codes.
 LENGTH_BITS = 12
 
 
@@ -43,12 +43,23 @@ def root(text: Column) -> Column:
 
 
 def leaf_codes(text: Column) -> Column:
-    """The distinct leaves as longs: a hash above, the length in the low bits."""
+    """The distinct leaves as longs: a hash above, the length in the low bits.
+
+    A leaf longer than these can hold has one code for each part of its length, with hashes of the
+    whole leaf and the number of the part, so that equal leaves share all of them and others none.
+    """
     limit = (1 << LENGTH_BITS) - 1
-    code = lambda p: F.xxhash64(p).bitwiseAND(F.lit(~limit)).bitwiseOR(
-        F.least(F.length(p), F.lit(limit)).cast("bigint")
-    )
-    return F.array_distinct(F.transform(F.flatten(sections(text)), code))
+
+    def codes(p: Column) -> Column:
+        last = F.floor((F.length(p) - 1) / limit).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+            lambda k: F.xxhash64(p, k)
+            .bitwiseAND(F.lit(~limit))
+            .bitwiseOR(F.least(F.length(p) - k * limit, F.lit(limit)).cast("bigint")),
+        )
+
+    return F.array_distinct(F.flatten(F.transform(F.flatten(sections(text)), codes)))
 
 
 def _weight(codes: Column) -> Column:

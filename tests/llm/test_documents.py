@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallytide.llm import queries, warc
-from tallytide.llm.merkle import changed_sections, edit_likeness, fingerprints
+from tallytide.llm.merkle import changed_sections, edit_likeness, fingerprints, leaf_codes, likeness
 from tallytide.llm.secret_scan import scan_secrets, summarize
 from tallytide.llm.warc import archive_round_trip, read_records
 
@@ -124,6 +124,14 @@ def test_edited_texts_match_brute_force(odd, documents, empty):
     assert edit_likeness(empty).count() == 0
 
 
+def test_a_long_leaf_counts_with_its_whole_length(spark):
+    long, other = "ab " * 5000, "cd " * 3000
+    rows = [(f"{long}\nshared", f"{other}\nshared"), (f"{long}\nx", f"{long}\ny"), (long, long), ("a" * 4095, "a" * 4096)]
+    docs = spark.createDataFrame(rows, "a string, b string")
+    found = [r.l for r in docs.select(likeness(leaf_codes(F.col("a")), leaf_codes(F.col("b"))).alias("l")).collect()]
+    assert found == [12 / (15000 + 9000 + 12), 30000 / 30002, 1.0, 0.0]
+
+
 def test_branches_locate_an_edit(spark):
     old, new = "One. Two.\nThree.\nFour.", "One. Two.\nThree!\nFour."
     docs = spark.createDataFrame([(1, old), (2, new), (3, old)], "doc_id bigint, text string")
