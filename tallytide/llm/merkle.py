@@ -137,7 +137,9 @@ def _neighbours(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, boo
     )
 
 
-def edit_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def edit_likeness(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", without_id: bool = False
+) -> DataFrame:
     """Every text against an edited copy and against the next document.
 
     The edited copy has its last half replaced by the start of the next document in descending order
@@ -149,7 +151,8 @@ def edit_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     before it the leading characters that one wants and its leaves.
 
     Null texts are empty; two empty trees have likeness 1. A single row is its own next document.
-    Rows without an id have no neighbour and are left out. Of several rows with one id each is
+    Rows without an id have no neighbour: they are left out or, ``without_id``, have their n_chars and
+    fingerprint, and null for all that the neighbour gives. Of several rows with one id each is
     compared, and the greatest of them stands as the next document. An empty table gives an empty
     result; other columns are not looked at.
     """
@@ -175,7 +178,7 @@ def edit_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             F.max(F.struct("lead", "next_codes")).alias("top")
         ).select("doc_id", "top.*")
     met = own.join(follower, "doc_id").withColumn("edited", F.concat("head", "lead"))
-    return met.select(
+    compared = met.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
@@ -184,3 +187,17 @@ def edit_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         likeness(F.col("codes"), leaf_codes(F.col("edited"))).alias("near_edited"),
         likeness(F.col("codes"), F.col("next_codes")).alias("near_next"),
     )
+    if not without_id:
+        return compared
+    known = {
+        "doc_id": F.col(doc_id),
+        "n_chars": F.length(body).cast("bigint"),
+        "fingerprint": root(body),
+    }
+    lone = docs.filter(F.col(doc_id).isNull()).select(
+        *[
+            known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in compared.schema.fields
+        ]
+    )
+    return compared.unionByName(lone)

@@ -69,7 +69,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_likeness(table(spark, sf_dir, "documents"))
+    return edit_likeness(table(spark, sf_dir, "documents"), without_id=True)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,6 +124,17 @@ def test_edited_texts_match_brute_force(odd, documents, empty):
     assert edit_likeness(empty).count() == 0
 
 
+def test_rows_without_an_id_keep_their_own_values(spark, odd, tmp_path):
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    out = queries.op8_merkle(spark, str(tmp_path)).collect()
+    assert len(out) == odd.count()
+    lone = [r for r in out if r.doc_id is None]
+    assert sorted(r.n_chars for r in lone) == [0, 17]
+    empty_text = next(r.fingerprint for r in out if r.doc_id == 4)
+    assert {r.fingerprint == empty_text for r in lone if r.n_chars == 0} == {True}
+    assert {(r.edited_sha256, r.edited_fingerprint, r.near_edited, r.near_next) for r in lone} == {(None,) * 4}
+
+
 def test_a_long_leaf_counts_with_its_whole_length(spark):
     long, other = "ab " * 5000, "cd " * 3000
     rows = [(f"{long}\nshared", f"{other}\nshared"), (f"{long}\nx", f"{long}\ny"), (long, long), ("a" * 4095, "a" * 4096)]
