@@ -14,7 +14,13 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+DUCK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
 
 
 @pytest.fixture(scope="module")
