@@ -4,145 +4,75 @@ from __future__ import annotations
 
 import bisect
 import heapq
-import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from tallytide.llm.common import written
-from tallytide.llm.tokens import PLAIN_WORD, by_rank, load, rank_encoder
+from tallytide.llm.tokens import by_rank, load, rank_encoder
 
 CAPACITY = 2048
 END_ID = 0
-#: Chunks a task keeps ids of, which bounds its memory; on running out it starts anew.
-CACHED = 150_000
-ROWS_AT_ONCE = 512
 RANKED_TOGETHER = 2000
-WHITE = [c for c in map(chr, range(0x3001)) if c.isspace()]
 
 
-class ChunkIds(dict):
-    """Ids, packed as little-endian 32-bit numbers, of chunks that follow a single space.
+class TextIds:
+    """Whole texts to ids, packed as little-endian 32-bit numbers.
 
-    Byte-level BPE with this split pattern always starts a new pre-token at a space that follows
-    another character than white space, so such chunks can be encoded one by one.
+    A file that ``by_rank`` has proven is encoded by the rank table in one call a text; a text with a
+    run of white space beyond the splitter's stack, and any other file, by the tokenizers library.
     """
 
     def __init__(self, path: str, ranked: bool):
-        super().__init__()
-        self.tokenizer = load(path)
-        self.words = rank_encoder(path) if ranked else None
-        self.parts: dict[str, bytes] = {}
+        self.path = path
+        self.ranks = rank_encoder(path) if ranked else None
 
-    def whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def word(self, word: str) -> bytes:
-        """A pre-token by rank; marks and words recur in many chunks."""
-        ids = self.parts.get(word)
-        if ids is None:
-            ids = self.parts[word] = _packed(self.words.encode_ordinary(word))
-        return ids
+    @cached_property
+    def library(self) -> Tokenizer:
+        return load(self.path)
 
-    def plain(self, chunk: str) -> bytes | None:
-        """Ids of plain words with single line breaks between them, each of which is a pre-token."""
-        ids = []
-        for i, line in enumerate(chunk.split("\n")):
-            found = PLAIN_WORD.fullmatch(line)
-            if not found:
-                return None
-            word, marks = found.groups()
-            if i:
-                ids.append(self.word("\n"))
-            ids.append(self.word(word if i else " " + word))
-            if marks:
-                ids.append(self.word(marks))
-        return b"".join(ids)
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self) > CACHED:
-            self.clear()
-            self.parts.clear()
-        other = []
-        for chunk in chunks.difference(self):
-            ids = self.plain(chunk) if self.words else None
-            if ids is None:
-                other.append(chunk)
-            else:
-                self[chunk] = ids
-        rest = iter(other)
-        while part := list(islice(rest, 4096)):
-            coded = self.tokenizer.encode_batch_fast(
-                [" " + c for c in part], add_special_tokens=False
-            )
-            self.update((c, _packed(e.ids)) for c, e in zip(part, coded, strict=True))
+    def whole(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
     def text(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        return self.whole(first) + b"".join(map(self.__getitem__, rest))
-
-
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+        if self.ranks is None:
+            return self.whole(text)
+        try:
+            ids = self.ranks.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return self.whole(text)
+        return ids.astype("<u4", copy=False).tobytes()
 
 
-def splits_at_spaces(text: str) -> bool:
-    """Whether every space stands between two other characters than white space."""
-    if text[:1].isspace() or text[-1:].isspace():
-        return False
-    return not any(w in text and (f" {w}" in text or f"{w} " in text) for w in WHITE)
-
-
-def encode_pieces(batch: pa.RecordBatch, chunks: ChunkIds, capacity: int) -> dict[str, list]:
+def encode_pieces(batch: pa.RecordBatch, encoder: TextIds, capacity: int) -> dict[str, list]:
     """The pieces of a batch of (row, doc_id, text): longer documents are cut, the first piece may
     be shorter."""
-    texts = [t or "" for t in batch.column("text").to_pylist()]
-    plain = [splits_at_spaces(t) for t in texts]
     out: dict[str, list] = defaultdict(list)
     end = END_ID.to_bytes(4, "little")
-    for group in _groups(texts, plain):
-        chunks.learn({c for i in group if plain[i] for c in texts[i].split(" ")[1:]})
-        for i in group:
-            ids = (chunks.text(texts[i]) if plain[i] else chunks.whole(texts[i])) + end
-            total = len(ids) // 4
-            start, piece = 0, 0
-            while start < total:
-                size = (total - start) % capacity or capacity
-                out["at"].append(i)
-                out["piece"].append(piece)
-                out["start"].append(start)
-                out["length"].append(size)
-                out["ids_crc32"].append(zlib.crc32(ids[4 * start : 4 * (start + size)]))
-                start, piece = start + size, piece + 1
+    for i, text in enumerate(batch.column("text")):
+        ids = encoder.text(text.as_py() or "") + end
+        total = len(ids) // 4
+        start, piece = 0, 0
+        while start < total:
+            size = (total - start) % capacity or capacity
+            out["at"].append(i)
+            out["piece"].append(piece)
+            out["start"].append(start)
+            out["length"].append(size)
+            out["ids_crc32"].append(zlib.crc32(ids[4 * start : 4 * (start + size)]))
+            start, piece = start + size, piece + 1
     return out
 
 
-def _groups(texts: list[str], plain: list[bool], chars: int = 1_000_000) -> Iterator[list[int]]:
-    """Runs of rows whose texts together stay small, or single longer ones."""
-    group, size = [], 0
-    for i, text in enumerate(texts):
-        if group and size + len(text) > chars:
-            yield group
-            group, size = [], 0
-        group.append(i)
-        size += len(text)
-    if group:
-        yield group
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A few rows at a time, so that only their texts are Python objects."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(at, ROWS_AT_ONCE)
-
-
 def token_pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -156,10 +86,10 @@ def token_pieces(
     ranked = by_rank(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = ChunkIds(tokenizer, ranked)
-        for part in _parts(batches):
-            out = encode_pieces(part, chunks, capacity)
-            ids = part.column("doc_id").take(pa.array(out["at"], pa.int64()))
+        encoder = TextIds(tokenizer, ranked)
+        for batch in batches:
+            out = encode_pieces(batch, encoder, capacity)
+            ids = batch.column("doc_id").take(pa.array(out["at"], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,

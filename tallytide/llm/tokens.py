@@ -13,6 +13,10 @@ LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 #: A word of Latin letters with a few marks after it. Every split pattern with letters and marks in
 #: classes of their own cuts it between the two and nowhere else.
 PLAIN_WORD = re.compile(f"([{LATIN}]+)([.,;:!?$%&*#|]{{0,3}})")
+#: How byte-level files split text before merging (fixed value).
+SPLIT = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
 
 def load(path: str) -> Tokenizer:
@@ -48,12 +52,32 @@ def merge_ranks(path: str) -> tuple[dict[bytes, int], list[tuple[bytes, bytes]]]
     return ranks, [(spell(a), spell(b)) for a, b in pairs]
 
 
+def _splits_bytes(path: str) -> bool:
+    """Whether a file cuts text by ``SPLIT`` only, and takes its special tokens as they stand."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    splitter = content["pre_tokenizer"] or {}
+    return (
+        content["normalizer"] is None
+        and splitter.get("type") == "ByteLevel"
+        and splitter.get("use_regex", False)
+        and not splitter.get("add_prefix_space", True)
+        and not any(
+            t[flag]
+            for t in content["added_tokens"]
+            for flag in ("single_word", "lstrip", "rstrip", "normalized")
+        )
+    )
+
+
 def by_rank(path: str) -> bool:
     """Whether merging by the ids of joined tokens gives what the file's list of merges gives.
 
     That holds when ids follow the merges and every merged token, cut by the merges before it, ends
     as the two parts its own merge names: then no other pair can ever stand where it would be joined.
     """
+    if not _splits_bytes(path):
+        return False
     ranks, merges = merge_ranks(path)
     for i, (a, b) in enumerate(merges):
         whole = a + b
@@ -73,6 +97,8 @@ def by_rank(path: str) -> bool:
 
 
 def rank_encoder(path: str) -> tiktoken.Encoding:
-    """An encoder that takes its whole input for one pre-token; only for files that are ``by_rank``."""
+    """An encoder of whole texts, with the file's special tokens; only for files that are ``by_rank``."""
     ranks, _ = merge_ranks(path)
-    return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    with open(path, encoding="utf-8") as file:
+        special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tallytide.llm.packing import ChunkIds, pack, plan_best_fit, splits_at_spaces
+from tallytide.llm.packing import TextIds, pack, plan_best_fit
 from tallytide.llm.token_counts import Chunks, token_counts
 from tallytide.llm.tokens import by_rank, vocabulary
 
@@ -93,18 +93,28 @@ def test_the_file_can_be_merged_by_rank():
 @settings(max_examples=200, deadline=None)
 def test_any_text_is_encoded_and_counted_as_the_library_does(text):
     text = text.encode("utf-8", "ignore").decode()
-    chunks, words = STATE["bytes"], STATE["words"]
-    whole = chunks.whole(text)
-    if splits_at_spaces(text):
-        chunks.learn(set(text.split(" ")[1:]))
-        assert chunks.text(text) == whole
+    ids, words = STATE["bytes"], STATE["words"]
+    assert ids.text(text) == ids.whole(text)
     pieces, rare = words.count(text)
     model = words.tokenizer.model.tokenize
     total = pieces + sum(n * len(model(t)) for t, n in rare.items())
     assert total == len(words.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
-STATE = {"bytes": ChunkIds(BYTES, True), "words": Chunks(WORDS, {})}
+@pytest.mark.parametrize("shape", ["a{0}b", "{0}", " {0} {0}{0}1"])
+def test_ids_around_every_code_point_are_the_library_s(shape):
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(letters), 20_000):
+        text = "\n~".join(map(shape.format, letters[at : at + 20_000]))
+        assert STATE["bytes"].text(text) == STATE["bytes"].whole(text)
+
+
+@pytest.mark.parametrize("text", [" " * 1_500_000 + "b", "a" * 300_000, "<|endoftext|>" * 999])
+def test_ids_of_very_long_runs_are_the_library_s(text):
+    assert STATE["bytes"].text(text) == STATE["bytes"].whole(text)
+
+
+STATE = {"bytes": TextIds(BYTES, True), "words": Chunks(WORDS, {})}
 
 
 def test_counts_are_the_lengths_of_encodings(odd, documents, word_tokenizer):
