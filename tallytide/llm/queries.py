@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallytide.llm.common import table
 from tallytide.llm.exact_dedup import exact_duplicates
 from tallytide.llm.language import identify_languages
+from tallytide.llm.manifest import tamper_check
 from tallytide.llm.merkle import edit_likeness
 from tallytide.llm.mixing import layout_topic, mix, word_count
 from tallytide.llm.packing import pack
@@ -80,6 +81,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tamper_check(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_merkle": op8_merkle,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_manifest": op12_manifest,
 }
 
 ORACLES: dict[str, str] = {
