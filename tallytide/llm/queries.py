@@ -16,6 +16,7 @@ from tallytide.llm.mixing import layout_topic, mix, word_count
 from tallytide.llm.packing import pack
 from tallytide.llm.secret_scan import scan_secrets, summarize
 from tallytide.llm.simhash import near_duplicates
+from tallytide.llm.spelling import spelling_variants
 from tallytide.llm.token_counts import token_counts
 from tallytide.llm.tokens import vocabulary
 from tallytide.llm.toxicity import detect_toxicity
@@ -81,6 +82,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tamper_check(table(spark, sf_dir, "documents"))
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_merkle": op8_merkle,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_spelling": op11_spelling,
     "op12_manifest": op12_manifest,
 }
 
