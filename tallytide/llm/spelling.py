@@ -200,6 +200,9 @@ def variant_links(words: DataFrame) -> DataFrame:
     links, states, alive = [], None, 0
     depth: int | None = 0
     while depth is not None and (alive or trie.level(depth).rows):
+        if depth == trie.depth + STRATUM - 1 and not alive and trie.branchless(depth):
+            depth = trie.skip()
+            continue
         longer, pairs = _fresh_states(trie.level(depth).table)
         front = longer if states is None else longer.unionByName(states)
         moved = _advance(front, trie, depth).unionByName(pairs)
@@ -215,8 +218,6 @@ def variant_links(words: DataFrame) -> DataFrame:
         links.append(moved.filter(both))
         states, alive = moved.filter(f"NOT ({both})"), seen.get["open"]
         depth += 1
-        if depth == trie.depth + STRATUM and not alive and trie.branchless(depth - 1):
-            depth = trie.skip()
     pairs = reduce(DataFrame.unionByName, links) if links else None
     if pairs is None:
         return words.selectExpr("word", "n", "word AS near", "n AS near_n").limit(0)
