@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallytide.llm.common import table
 from tallytide.llm.exact_dedup import exact_duplicates
+from tallytide.llm.jaccard import similar_components
 from tallytide.llm.language import identify_languages
 from tallytide.llm.manifest import tamper_check
 from tallytide.llm.merkle import edit_likeness
@@ -90,6 +91,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tamper_check(table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_spelling": op11_spelling,
     "op12_manifest": op12_manifest,
+    "op13_jaccard": op13_jaccard,
 }
 
 ORACLES: dict[str, str] = {
