@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallytide.llm.common import written
@@ -18,7 +19,7 @@ from tallytide.llm.manifest import numbered
 from tallytide.operators.sizing import lookup_join
 
 #: Bits of a signature.
-BITS = 2048
+BITS = 1024
 #: Members of a leaf block, which one task traverses with itself or with another block, and of the
 #: nodes inside a block.
 BLOCK = 256
@@ -27,9 +28,13 @@ NODE = 16
 FANOUT = 8
 #: Documents of the sample that tells frequent shingles from rare ones, and shingles kept of it.
 SAMPLED_DOCS = 10_000
-FREQUENT = 200_000
+FREQUENT = 50_000
+#: Sides up to this size are broadcast; most sides here grow with the corpus.
+BROADCAST_BYTES = 16 * 1024 * 1024
 MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
+_join = partial(lookup_join, limit_bytes=BROADCAST_BYTES)
+
 
 def _mixed(value: np.ndarray) -> np.ndarray:
     value = (value ^ (value >> np.uint64(30))) * MIX[1]
@@ -71,7 +76,12 @@ def prefix(shingles: np.ndarray, percent: int, common: tuple[np.ndarray, np.ndar
     if len(known):
         at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
         rank = np.where(known[at] == shingles, weights[at], 0)
-    return shingles[np.lexsort((shingles, rank))][: n - (percent * n + 99) // 100 + 1]
+    return shingles[np.lexsort((shingles, rank))][: n - -(-percent * n // 100) + 1]
+
+
+def short_prefix(n: int, percent: int) -> int:
+    """How much of the prefix of the smaller of two sets is enough to meet the larger one's."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
 
 
 def _frequent(docs: DataFrame, words: int, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -135,21 +145,20 @@ class Nodes:
         self.first, self.last = first, last
 
     @classmethod
-    def of(cls, frame: pd.DataFrame) -> Nodes:
-        bits = np.frombuffer(b"".join(frame["bits"]), np.uint64).reshape(len(frame), -1)
-        columns = [frame[c].to_numpy(np.int64) for c in ("low", "high", "excess", "first", "last")]
-        return cls(bits, *columns)
-
-    def grouped(self, size: int) -> Nodes:
-        """Every ``size`` consecutive nodes as one."""
-        at = np.arange(0, len(self.low), size)
+    def of(cls, rows: pa.Table) -> Nodes:
+        bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64)
+        names = ("low", "high", "excess", "first", "last")
+        return cls(bits.reshape(rows.num_rows, -1), *(rows.column(c).to_numpy() for c in names))
+
+    def grouped(self, starts: np.ndarray) -> Nodes:
+        """The runs of nodes that start at these places as one node each."""
         return Nodes(
-            np.bitwise_or.reduceat(self.bits, at),
-            np.minimum.reduceat(self.low, at),
-            np.maximum.reduceat(self.high, at),
-            np.maximum.reduceat(self.excess, at),
-            np.minimum.reduceat(self.first, at),
-            np.maximum.reduceat(self.last, at),
+            np.bitwise_or.reduceat(self.bits, starts),
+            np.minimum.reduceat(self.low, starts),
+            np.maximum.reduceat(self.high, starts),
+            np.maximum.reduceat(self.excess, starts),
+            np.minimum.reduceat(self.first, starts),
+            np.maximum.reduceat(self.last, starts),
         )
 
     def take(self, at: np.ndarray) -> Nodes:
@@ -182,7 +191,7 @@ def _expand(left: np.ndarray, right: np.ndarray, sizes: tuple[int, int]) -> tupl
 def traverse(a: Nodes, b: Nodes | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Members of one block, or of two, whose sets may link: down both trees at once."""
     other = a if b is None else b
-    upper, lower = a.grouped(NODE), other.grouped(NODE)
+    upper, lower = (n.grouped(np.arange(0, len(n.low), NODE)) for n in (a, other))
     i, j = (m.ravel() for m in np.indices((len(upper.low), len(lower.low))))
     if b is None:
         i, j = i[i <= j], j[i <= j]
@@ -194,50 +203,73 @@ def traverse(a: Nodes, b: Nodes | None, percent: int) -> tuple[np.ndarray, np.nd
     return i[kept], j[kept]
 
 
-def _streamed(
-    keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame]
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Applies ``work`` to every run of rows with equal keys, of sorted rows; holds one run."""
+def _neighbours(starts: np.ndarray, ends: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places inside the runs that are ``few``, which have ``NODE`` rows at most."""
+    run = np.repeat(np.where(few, np.arange(len(starts)), -1), ends - starts)
+    found = []
+    for step in range(1, NODE):
+        i = np.flatnonzero((run[:-step] == run[step:]) & (run[:-step] >= 0))
+        found.append((i, i + step))
+    return tuple(np.concatenate([pair[k] for pair in found]) for k in (0, 1))
+
+
+Work = Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table]
+
+
+def _streamed(keys: list[str], work: Work) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Applies ``work`` to whole runs of rows with equal keys (a table, starts, ends), of sorted rows.
+
+    The last run of a batch waits for the next one, so a task holds a batch and one run.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pd.DataFrame | None = None
+        held: pa.Table | None = None
         for batch in batches:
-            frame = batch.to_pandas()
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
             if held is not None:
-                frame = pd.concat([held, frame], ignore_index=True)
-            turn = (frame[keys] != frame[keys].shift()).any(axis=1).to_numpy()
-            starts = np.flatnonzero(turn)
-            for at, end in zip(starts, starts[1:], strict=False):
-                yield from _batches(work(frame.iloc[at:end]))
-            held = frame.iloc[starts[-1] :] if len(starts) else None
+                table = pa.concat_tables([held, table]).combine_chunks()
+            starts = _starts(table)
+            held = table.slice(starts[-1]).combine_chunks()
+            if len(starts) > 1:
+                done = table.slice(0, starts[-1])
+                yield from work(done, starts[:-1], starts[1:]).to_batches()
         if held is not None:
-            yield from _batches(work(held))
+            yield from work(held, np.array([0]), np.array([held.num_rows])).to_batches()
+
+    def _starts(table: pa.Table) -> np.ndarray:
+        values = [table.column(k).to_numpy() for k in keys]
+        turn = np.any([v[1:] != v[:-1] for v in values], axis=0)
+        return np.concatenate(([0], np.flatnonzero(turn) + 1))
 
     return run
 
 
-def _batches(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-    if len(frame):
-        yield from pa.Table.from_pandas(frame, preserve_index=False).to_batches()
+NODE_COLUMNS = "bits binary, low bigint, high bigint, excess bigint, first bigint, last bigint"
 
 
-NODE_COLUMNS = "bits binary, low bigint, high bigint, excess bigint, first bigint, last bigint"
+def _linked(percent: int) -> Callable[[str, str], Column]:
+    """``may_link`` on two columns of nodes."""
 
+    @F.pandas_udf("boolean")
+    def linked(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
+        one, two = (Nodes.of(pa.Table.from_pandas(x, preserve_index=False)) for x in (a, b))
+        return pd.Series(may_link(one, two, percent))
 
-def _combined(frame: pd.DataFrame) -> pd.DataFrame:
-    """All rows of a node as one."""
-    node = Nodes.of(frame).grouped(len(frame))
-    values = [[node.bits[0].tobytes()], node.low, node.high, node.excess, node.first, node.last]
-    names = ("bits", "low", "high", "excess", "first", "last")
-    return pd.DataFrame(dict(zip(names, values, strict=True)))
+    return linked
 
 
 def _upper(nodes: DataFrame, parent: str) -> DataFrame:
     """One level up: ``nodes`` (token, at, ...) combined by (token, ``parent``)."""
     rows = nodes.withColumn("up", F.expr(parent)).repartition("token", "up")
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        return _combined(frame).assign(token=frame["token"].iloc[0], at=frame["up"].iloc[0])
+    def work(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
+        node = Nodes.of(rows).grouped(starts)
+        named = {k: pa.array(v) for k, v in vars(node).items() if k != "bits"}
+        keys = {"token": rows.column("token").take(starts), "at": rows.column("up").take(starts)}
+        bits = pa.array([b.tobytes() for b in node.bits], pa.binary())
+        return pa.table({"bits": bits, **named, **keys})
 
     found = rows.sortWithinPartitions("token", "up").mapInArrow(
         _streamed(["token", "up"], work), f"{NODE_COLUMNS}, token bigint, at bigint"
@@ -257,11 +289,8 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
         levels.append(_upper(levels[-1], f"at DIV {FANOUT}"))
     pairs = levels[-1].selectExpr("token", "at AS a", "at AS b")
 
-    @F.pandas_udf("boolean")
-    def linked(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-        return pd.Series(may_link(Nodes.of(a), Nodes.of(b), percent))
-
     names = [c.split()[0] for c in NODE_COLUMNS.split(", ")]
+    linked = _linked(percent)
     for level in reversed(levels[:-1]):
         kids = level.withColumn("up", F.expr(f"at DIV {FANOUT}"))
         sides = [
@@ -274,13 +303,13 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
     return pairs.filter("a < b")
 
 
-def _candidates(members: DataFrame, percent: int) -> DataFrame:
+def _candidates(members: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     """(u, v): rows whose sets may link, of different groups, by the trees of all shared shingles.
 
-    ``members`` has (token, row, grp, n, bits, pos, size); a shingle's rows are dealt into blocks in
-    the order of ``pos``.
+    ``members`` has (token, row, first, last, pos, size); a shingle's rows are dealt into blocks in
+    the order of ``pos``. ``leaves`` has their bitmaps and sizes.
     """
-    members = members.withColumn("block", F.expr(f"pos DIV {BLOCK}"))
+    members = _join(members, leaves, "row").withColumn("block", F.expr(f"pos DIV {BLOCK}"))
     columns = ["token", "a", "b", "side", "pos", "row", "bits", "low", "high", "excess", "first", "last"]
     own = members.selectExpr("*", "block AS a", "block AS b", "0 AS side").select(columns)
     rows = own
@@ -295,13 +324,23 @@ def _candidates(members: DataFrame, percent: int) -> DataFrame:
         rows = own.unionByName(sides[0]).unionByName(sides[1])
     rows = rows.repartition("token", "a", "b").sortWithinPartitions("token", "a", "b", "side", "pos")
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        left = frame[frame["side"] == 0]
-        right = frame[frame["side"] == 1] if frame["a"].iloc[0] != frame["b"].iloc[0] else None
-        i, j = traverse(Nodes.of(left), None if right is None else Nodes.of(right), percent)
-        u = left["row"].to_numpy()[i]
-        v = (left if right is None else right)["row"].to_numpy()[j]
-        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+    def work(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
+        nodes, side = Nodes.of(rows), rows.column("side").to_numpy()
+        own = rows.column("a").to_numpy()[starts] == rows.column("b").to_numpy()[starts]
+        few = own & (ends - starts <= NODE)
+        i, j = _neighbours(starts, ends, few)
+        kept = may_link(nodes.take(i), nodes.take(j), percent)
+        found = [(i[kept], j[kept])]
+        for at, end in zip(starts[~few], ends[~few], strict=True):
+            cut = at + int((side[at:end] == 0).sum())
+            left, right = np.arange(at, cut), np.arange(cut, end)
+            other = nodes.take(right) if len(right) else None
+            i, j = traverse(nodes.take(left), other, percent)
+            found.append((left[i], (right if len(right) else left)[j]))
+        row = rows.column("row").to_numpy()
+        u, v = (row[np.concatenate([pair[k] for pair in found])] for k in (0, 1))
+        links = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+        return pa.table({"u": links[0], "v": links[1]})
 
     found = rows.mapInArrow(_streamed(["token", "a", "b"], work), "u bigint, v bigint")
     return found.distinct()
@@ -316,11 +355,11 @@ def _verified(
     """
     pairs = written(pairs, "candidates")
     asked = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row")))
-    keys = lookup_join(sets.select("row", "key"), asked.distinct(), "row", "left_semi")
+    keys = _join(sets.select("row", "key"), asked.distinct(), "row", "left_semi")
     keys = written(keys, "keys")
     body = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.unhex(F.md5(body)).alias("key"), body.alias("text"))
-    texts = lookup_join(texts, keys.select("key").distinct(), "key", "left_semi")
+    texts = _join(texts, keys.select("key").distinct(), "key", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,18 +402,38 @@ def _with_excess(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "row bigint, bits binary, low bigint, high bigint, excess bigint")
 
 
-def _leaders(shared: DataFrame, weights: DataFrame) -> DataFrame:
-    """(u, v): every row with the rows of each of its shingles that share most and least with others.
+def _shared(nodes: DataFrame, percent: int) -> DataFrame:
+    """(token, row, classes): the prefixes of the classes, for shingles that two of them share and one
+    of them has in its short prefix."""
+    n = F.col("n")
+    short = n - F.ceil(2 * percent * n / (100 + percent)) + 1
+    posted = nodes.select("row", short.alias("short"), F.posexplode("prefix").alias("at", "token"))
+    counts = posted.groupBy("token").agg(
+        F.count(F.lit(1)).alias("classes"), F.max(F.col("at") <= F.col("short")).alias("near")
+    )
+    counts = counts.filter("classes > 1 AND near").select("token", "classes", F.col("classes").alias("n_rows"))
+    found = _join(posted.select("token", "row"), counts, "token", rows="n_rows")
+    return written(found, "shared")
+
+
+def _leaders(shared: DataFrame) -> DataFrame:
+    """(u, v): every row with the rows of each of its shingles that share most and least with others,
+    for shingles of more classes than a node holds.
 
     A text that many near copies were made from has no shingle of its own, so it shares most.
     """
-    weighed = lookup_join(shared, weights, "row")
+    weights = shared.groupBy("row").agg(F.sum("classes").alias("weight"), F.count(F.lit(1)).alias("n_rows"))
+    large = shared.filter(F.col("classes") > NODE).select("token", "row")
+    weighed = written(_join(large, weights, "row", rows="n_rows"), "weighed")
+    order = F.struct("weight", "row")
     ends = weighed.groupBy("token").agg(
-        F.array(*[pick(F.struct("weight", "row"))["row"] for pick in (F.max, F.min)]).alias("leaders"),
-        F.count(F.lit(1)).alias("n_rows"),
+        F.max(order).alias("most"), F.min(order).alias("least"), F.count(F.lit(1)).alias("n_rows")
+    )
+    ends = ends.select(
+        "token", F.col("most.row").alias("most"), F.col("least.row").alias("least"), "n_rows"
     )
-    ends = written(ends, "leaders").select("token", F.inline(F.transform("leaders", lambda x: F.struct(x.alias("leader")))), "n_rows")
-    met = shared.select("token", "row").join(ends.drop("n_rows"), "token")
+    met = _join(weighed.select("token", "row"), ends, "token", rows="n_rows")
+    met = met.select("row", F.explode(F.array("most", "least")).alias("leader"))
     pairs = met.filter("row != leader").select(
         F.least("row", "leader").alias("u"), F.greatest("row", "leader").alias("v")
     )
@@ -385,10 +444,7 @@ def _bounded(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     """Pairs whose signatures and sizes leave a link open."""
     names = [c.split()[0] for c in NODE_COLUMNS.split(", ")]
 
-    @F.pandas_udf("boolean")
-    def linked(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-        return pd.Series(may_link(Nodes.of(a), Nodes.of(b), percent))
-
+    linked = _linked(percent)
     own = leaves.withColumns({"first": F.col("row"), "last": F.col("row")})
     u = own.select(F.col("row").alias("u"), F.struct(*names).alias("x"))
     v = own.select(F.col("row").alias("v"), F.struct(*names).alias("y"))
@@ -429,41 +485,39 @@ def similar_components(
         "classes",
     )
     copied = classes.filter("copies > 1").select("cls", "first", "copies")
-    lost = lookup_join(sets.select("cls", "row"), copied, "cls", rows="copies").filter("row != first")
-    nodes = lookup_join(sets.filter("n > 0"), lost.select("row"), "row", "left_anti")
-    posted = written(nodes.select("row", F.explode("prefix").alias("token")), "postings")
-    counts = posted.groupBy("token").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
-    shared = written(
-        lookup_join(posted, counts.withColumn("n_rows", F.col("classes")), "token", rows="n_rows"), "shared"
-    )
-    weights = shared.groupBy("row").agg(F.sum("classes").alias("weight"))
-    used = lookup_join(sets.select("row", "n", "bits"), shared.select("row").distinct(), "row", "left_semi")
+    lost = _join(sets.select("cls", "row"), copied, "cls", rows="copies").filter("row != first")
+    nodes = _join(sets.filter("n > 0"), lost.select("row"), "row", "left_anti")
+    shared = _shared(nodes, percent)
+    used = _join(sets.select("row", "n", "bits"), shared.select("row").distinct(), "row", "left_semi")
     leaves = written(_with_excess(used), "leaves")
-    first = _verified(
-        _bounded(_leaders(shared, weights), leaves, percent), sets, docs, words, percent, text
-    )
+    pairs = _bounded(_leaders(shared), leaves, percent)
+    first = _verified(pairs, sets, docs, words, percent, text)
     groups = written(connected_components(first), "groups")
-    grouped = lookup_join(leaves, groups.withColumnRenamed("node", "row"), "row", "left")
+    grouped = _join(leaves.select("row", "low"), groups.withColumnRenamed("node", "row"), "row", "left")
     grouped = grouped.withColumn("grp", F.coalesce("root", "row")).drop("root")
     lows = grouped.groupBy("grp").agg(F.min("low").alias("base"), F.count(F.lit(1)).alias("n_rows"))
-    grouped = written(lookup_join(grouped, lows, "grp", rows="n_rows"), "grouped")
-    members = lookup_join(shared.select("token", "row"), grouped, "row")
-    members = written(members.withColumns({"first": F.col("grp"), "last": F.col("grp")}), "members")
-    open_tokens = members.groupBy("token").agg(F.count(F.lit(1)).alias("n_rows"), F.min("grp").alias("g1"), F.max("grp").alias("g2"))
-    open_tokens = open_tokens.filter("g1 != g2").select("token", "n_rows")
-    members = lookup_join(members, open_tokens, "token", rows="n_rows")
-    placed = numbered(members, "token", ["base", "grp", "low", "row"], "placed")
-    second = _verified(_candidates(placed, percent), sets, docs, words, percent, text)
+    grouped = _join(grouped, lows, "grp", rows="n_rows")
+    members = written(_join(shared.select("token", "row"), grouped, "row"), "members")
+    apart = members.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("grp").alias("least"), F.max("grp").alias("most")
+    )
+    apart = apart.filter("least != most").select("token", "n_rows")
+    members = _join(members, apart, "token", rows="n_rows")
+    placed = numbered(members, "token", ["base", "grp", "low", "row"], "placed").select(
+        "token", "row", F.col("grp").alias("first"), F.col("grp").alias("last"), "pos", "size"
+    )
+    pairs = _candidates(placed, leaves, percent)
+    second = _verified(pairs, sets, docs, words, percent, text)
     roots = connected_components(first.unionByName(second)).select(
         F.col("node").alias("first"), "root"
     )
-    named = lookup_join(classes, roots, "first", "left").withColumn("root", F.coalesce("root", "first"))
+    named = _join(classes, roots, "first", "left").withColumn("root", F.coalesce("root", "first"))
     named = written(named, "named")
     least = named.groupBy("root").agg(
         F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n_rows"), F.sum("copies").alias("rows")
     )
-    named = lookup_join(named, least.filter("rows > 1").drop("rows"), "root", rows="n_rows")
+    named = _join(named, least.filter("rows > 1").drop("rows"), "root", rows="n_rows")
     named = named.select("cls", "component_id", F.col("copies").alias("n_rows"))
-    return lookup_join(sets.select("doc_id", "cls", "n"), named, "cls", "left", rows="n_rows").select(
+    return _join(sets.select("doc_id", "cls", "n"), named, "cls", "left", rows="n_rows").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
