@@ -18,7 +18,7 @@ from tallytide.llm.components import connected_components
 from tallytide.llm.manifest import numbered
 from tallytide.operators.sizing import lookup_join
 
-#: Bits of a signature.
+#: Bits of a signature in the trees.
 BITS = 1024
 #: Members of a leaf block, which one task traverses with itself or with another block, and of the
 #: nodes inside a block.
@@ -61,12 +61,27 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """A bitmap with a bit per shingle, which several may share."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(shingles % np.uint64(BITS)).astype(np.int64)] = 1
+    """A bitmap with a bit per shingle, which several may share: ``BITS`` bits, or the power of two
+    that is twice their number or more."""
+    size = max(BITS, 1 << (2 * len(shingles)).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(shingles % np.uint64(size)).astype(np.int64)] = 1
     return np.packbits(bits).view(np.uint64)
 
 
+def cut(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap as it would be with fewer bits."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
+
+
+def overlap_bound(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> int:
+    """The largest overlap that the bitmaps of two sets leave open: a bit that only one of them has is
+    a shingle that they do not share."""
+    words = min(len(a), len(b))
+    a, b = cut(a, words), cut(b, words)
+    return min(n_a - int(np.bitwise_count(a & ~b).sum()), n_b - int(np.bitwise_count(b & ~a).sum()))
+
+
 def prefix(shingles: np.ndarray, percent: int, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The first shingles in the order of rising frequency, as many as make two sets that are similar
     enough share one: sets without a common one overlap too little."""
@@ -306,10 +321,13 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
 def _candidates(members: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     """(u, v): rows whose sets may link, of different groups, by the trees of all shared shingles.
 
-    ``members`` has (token, row, first, last, pos, size); a shingle's rows are dealt into blocks in
-    the order of ``pos``. ``leaves`` has their bitmaps and sizes.
+    ``members`` has (token, row, at, first, last, pos, size); a shingle's rows are dealt into blocks
+    in the order of ``pos``. ``leaves`` has their bitmaps and sizes. A pair is looked for at the first
+    shingle that both sets have: there the shingles before ``at`` are none that they share, so what
+    is left of the set bounds the overlap.
     """
     members = _join(members, leaves, "row").withColumn("block", F.expr(f"pos DIV {BLOCK}"))
+    members = members.withColumn("high", F.col("low") - F.col("at")).drop("at")
     columns = ["token", "a", "b", "side", "pos", "row", "bits", "low", "high", "excess", "first", "last"]
     own = members.selectExpr("*", "block AS a", "block AS b", "0 AS side").select(columns)
     rows = own
@@ -388,23 +406,46 @@ def _verified(
 
 
 def _with_excess(sets: DataFrame) -> DataFrame:
-    """Leaves of a signature tree from (row, n, bits)."""
+    """Leaves of a signature tree from (row, n, bits), with the whole bitmap as ``fine``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            joined = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64)
-            used = np.bitwise_count(joined.reshape(batch.num_rows, -1)).sum(axis=1, dtype=np.int64)
+            whole = [np.frombuffer(b, np.uint64) for b in batch.column("bits").to_pylist()]
+            bits = [cut(b, BITS // 64) for b in whole]
+            used = np.array([np.bitwise_count(b).sum() for b in bits], np.int64)
             n = batch.column("n")
             excess = pa.array(n.to_numpy(zero_copy_only=False) - used, pa.int64())
-            columns = [batch.column("row"), batch.column("bits"), n, n, excess]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "bits", "low", "high", "excess"])
+            coarse = pa.array([b.tobytes() for b in bits], pa.binary())
+            columns = [batch.column("row"), coarse, n, n, excess, batch.column("bits")]
+            names = ["row", "bits", "low", "high", "excess", "fine"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    kinds = "row bigint, bits binary, low bigint, high bigint, excess bigint, fine binary"
+    return sets.mapInArrow(run, kinds)
+
+
+def _finer(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) whose whole bitmaps leave a link open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, n, y, m in zip(*(batch.column(c) for c in ("x", "n", "y", "m")), strict=True):
+                a, b = (np.frombuffer(bits.as_py(), np.uint64) for bits in (x, y))
+                sizes = n.as_py(), m.as_py()
+                most = overlap_bound(a, sizes[0], b, sizes[1])
+                kept.append(most * (100 + percent) >= percent * sum(sizes))
+            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
 
-    return sets.mapInArrow(run, "row bigint, bits binary, low bigint, high bigint, excess bigint")
+    u = leaves.select(F.col("row").alias("u"), F.col("fine").alias("x"), F.col("low").alias("n"))
+    v = leaves.select(F.col("row").alias("v"), F.col("fine").alias("y"), F.col("low").alias("m"))
+    met = pairs.join(u, "u").join(v, "v").select("u", "v", "x", "n", "y", "m")
+    return met.mapInArrow(run, "u bigint, v bigint")
 
 
 def _shared(nodes: DataFrame, percent: int) -> DataFrame:
-    """(token, row, classes): the prefixes of the classes, for shingles that two of them share and one
-    of them has in its short prefix."""
+    """(token, row, at, classes): the prefixes of the classes, for shingles that two of them share and
+    one of them has in its short prefix; ``at`` is the place of the shingle in the prefix."""
     n = F.col("n")
     short = n - F.ceil(2 * percent * n / (100 + percent)) + 1
     posted = nodes.select("row", short.alias("short"), F.posexplode("prefix").alias("at", "token"))
@@ -412,7 +453,7 @@ def _shared(nodes: DataFrame, percent: int) -> DataFrame:
         F.count(F.lit(1)).alias("classes"), F.max(F.col("at") <= F.col("short")).alias("near")
     )
     counts = counts.filter("classes > 1 AND near").select("token", "classes", F.col("classes").alias("n_rows"))
-    found = _join(posted.select("token", "row"), counts, "token", rows="n_rows")
+    found = _join(posted.select("token", "row", "at"), counts, "token", rows="n_rows")
     return written(found, "shared")
 
 
@@ -490,23 +531,24 @@ def similar_components(
     shared = _shared(nodes, percent)
     used = _join(sets.select("row", "n", "bits"), shared.select("row").distinct(), "row", "left_semi")
     leaves = written(_with_excess(used), "leaves")
-    pairs = _bounded(_leaders(shared), leaves, percent)
+    coarse = leaves.drop("fine")
+    pairs = _finer(_bounded(_leaders(shared), coarse, percent), leaves, percent)
     first = _verified(pairs, sets, docs, words, percent, text)
     groups = written(connected_components(first), "groups")
     grouped = _join(leaves.select("row", "low"), groups.withColumnRenamed("node", "row"), "row", "left")
     grouped = grouped.withColumn("grp", F.coalesce("root", "row")).drop("root")
     lows = grouped.groupBy("grp").agg(F.min("low").alias("base"), F.count(F.lit(1)).alias("n_rows"))
     grouped = _join(grouped, lows, "grp", rows="n_rows")
-    members = written(_join(shared.select("token", "row"), grouped, "row"), "members")
+    members = written(_join(shared.select("token", "row", "at"), grouped, "row"), "members")
     apart = members.groupBy("token").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("grp").alias("least"), F.max("grp").alias("most")
     )
     apart = apart.filter("least != most").select("token", "n_rows")
     members = _join(members, apart, "token", rows="n_rows")
     placed = numbered(members, "token", ["base", "grp", "low", "row"], "placed").select(
-        "token", "row", F.col("grp").alias("first"), F.col("grp").alias("last"), "pos", "size"
+        "token", "row", "at", F.col("grp").alias("first"), F.col("grp").alias("last"), "pos", "size"
     )
-    pairs = _candidates(placed, leaves, percent)
+    pairs = _finer(_candidates(placed, coarse, percent), leaves, percent)
     second = _verified(pairs, sets, docs, words, percent, text)
     roots = connected_components(first.unionByName(second)).select(
         F.col("node").alias("first"), "root"

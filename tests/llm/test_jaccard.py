@@ -92,9 +92,11 @@ def test_bounds_never_lose_a_link():
         b = np.unique(b)
         both = len(np.intersect1d(a, b))
         if 100 * both >= 90 * (len(a) + len(b) - both):
-            used = [int(np.bitwise_count(J.signature(x)).sum()) for x in (a, b)]
+            bits = [J.cut(J.signature(x), J.BITS // 64) for x in (a, b)]
+            used = [int(np.bitwise_count(x).sum()) for x in bits]
+            assert J.overlap_bound(J.signature(a), len(a), J.signature(b), len(b)) >= both
             one, two = (
-                J.Nodes(J.signature(x)[None], *(np.array([v]) for v in (len(x), len(x), len(x) - u, i, i)))
+                J.Nodes(bits[i][None], *(np.array([v]) for v in (len(x), len(x), len(x) - u, i, i)))
                 for i, (x, u) in enumerate(zip((a, b), used, strict=True))
             )
             assert J.may_link(one, two, 90)[0]
