@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallytide.functions import element
+from tallytide.operators import kmeans
 from tallytide.operators.sizing import lookup_join, settle
 
 
@@ -78,14 +78,15 @@ def sample_coordinates(
     )
 
 
-SEED_PARTITIONS = 16
-
-
 class Clusters(NamedTuple):
-    """``rows``: key, vector and label of every entity; ``centres``: label and centre as an array."""
+    """``rows``: key, vector and label of every entity; ``centres``: label and centre as an array;
+    ``cost``: sum of squared distances to the nearest centre before each round and at the end;
+    ``settled``: whether the last round moved no centre."""
 
     rows: DataFrame
     centres: DataFrame
+    cost: Sequence[float] = ()
+    settled: bool = True
 
 
 def fit_clusters(
@@ -94,27 +95,33 @@ def fit_clusters(
     vector: str = "features",
     k: int = 5,
     seed: int = 42,
-    layout: int = SEED_PARTITIONS,
     out: str = "cluster",
+    rounds: int = kmeans.MAX_ROUNDS,
 ) -> Clusters:
     """K-means over entities, with labels numbered by the smallest key they hold.
 
-    The seeding draws by partition and row order, so rows are first hashed into ``layout``
-    partitions and sorted there. Labels then depend on the data, the seed and ``layout``, not on the
-    session, the number of rows or how the input was split. Give a larger ``layout`` on a cluster.
+    Labels depend on the data and the seed only; see ``kmeans.fit``. Rows are settled once for all
+    rounds.
     """
-    rows = settle(df.select(key, vector)).table
-    placed = rows.repartition(layout, key).sortWithinPartitions(key)
-    model = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol="__found").fit(placed)
-    found = model.transform(rows)
+    rows, _, n = settle(df.select(key, vector))
+    points = rows.withColumn("__point", vector_to_array(vector))
+    fit = kmeans.fit(points.select(key, "__point"), key, k, seed, n, rounds)
+    spark = df.sparkSession
+    if not fit.centres:
+        none = spark.createDataFrame([], f"`{out}` int, centre array<double>")
+        return Clusters(rows.withColumn(out, F.lit(0)), none)
+    near = kmeans.nearest(F.col("__point"), fit.centres)["number"]
+    found = points.withColumn("__found", near).drop("__point")
     first = found.groupBy("__found").agg(F.min(key).alias("least")).orderBy("least").collect()
-    centres = model.clusterCenters()
-    numbers = df.sparkSession.createDataFrame(
-        [(r["__found"], i, centres[r["__found"]].tolist()) for i, r in enumerate(first)],
-        f"__found int, `{out}` int, centre array<double>",
+    number = {r["__found"]: i for i, r in enumerate(first)}
+    label = F.coalesce(*[F.when(F.col("__found") == f, F.lit(i)) for f, i in number.items()])
+    centres = [(i, fit.centres[f]) for f, i in number.items()]
+    return Clusters(
+        found.withColumn(out, label).drop("__found"),
+        spark.createDataFrame(centres, f"`{out}` int, centre array<double>"),
+        fit.cost,
+        fit.settled,
     )
-    labelled = found.join(F.broadcast(numbers.drop("centre")), "__found").drop("__found")
-    return Clusters(labelled, numbers.select(out, "centre"))
 
 
 def cluster_entities(
@@ -123,11 +130,10 @@ def cluster_entities(
     vector: str = "features",
     k: int = 5,
     seed: int = 42,
-    layout: int = SEED_PARTITIONS,
     out: str = "cluster",
 ) -> DataFrame:
     """Key, vector and k-means label of every entity; see ``fit_clusters``."""
-    return fit_clusters(df, key, vector, k, seed, layout, out).rows
+    return fit_clusters(df, key, vector, k, seed, out).rows
 
 
 def misplaced(clusters: Clusters, vector: str = "features", label: str = "cluster") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallytide.operators.aggregates import mean_by_time, profiles_of_means
 from tallytide.operators.joins import restrict_to
-from tallytide.operators.ml import SEED_PARTITIONS, fit_clusters, silhouette
+from tallytide.operators.ml import fit_clusters, silhouette
 from tallytide.operators.ranking import top_variable
 from tallytide.operators.reshape import feature_index, long_to_vector
 from tallytide.operators.sets import distinct_values
@@ -17,12 +18,15 @@ from tallytide.operators.sizing import settle
 
 
 class ClusterResult(NamedTuple):
-    """Labels and profiles of the clusters, their centres, and the labelled vectors."""
+    """Labels and profiles of the clusters, their centres, the labelled vectors, and of the fit its
+    cost by round and whether the last round moved no centre."""
 
     labels: DataFrame
     profiles: DataFrame
     centres: DataFrame
     vectors: DataFrame
+    cost: Sequence[float] = ()
+    settled: bool = True
 
     @property
     def silhouette(self) -> DataFrame:
@@ -68,7 +72,6 @@ def cluster_time_profiles(
     value: str = "log2_cpm",
     ids: DataFrame | None = None,
     center: bool = False,
-    layout: int = SEED_PARTITIONS,
 ) -> ClusterResult:
     """K-means over the time profiles of the most variable entities, or of those in ``ids``.
 
@@ -78,6 +81,7 @@ def cluster_time_profiles(
     listed = restrict_to(normalized, chosen, entity)
     means = settle(mean_by_time(listed, entity, t, value, out="mean_expr")).table
     vectors = _mean_vectors(means, distinct_values(normalized, [t]), entity, t, center)
-    labelled, centres = fit_clusters(vectors, entity, "features", k, seed, layout)
-    labels = labelled.select(entity, "cluster")
-    return ClusterResult(labels, profiles_of_means(means, labels, entity, t), centres, labelled)
+    found = fit_clusters(vectors, entity, "features", k, seed)
+    labels = found.rows.select(entity, "cluster")
+    profiles = profiles_of_means(means, labels, entity, t)
+    return ClusterResult(labels, profiles, found.centres, found.rows, found.cost, found.settled)

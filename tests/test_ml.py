@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallytide.operators.ml import (
     axis_signs,
     cluster_entities,
+    fit_clusters,
     fit_pca,
     sample_coordinates,
     silhouette,
@@ -139,6 +140,35 @@ def test_clusters_are_valid_and_stable(vectors):
     assert {c for _, c in labels[0]} == set(range(5))
 
 
+def test_rounds_end_where_centres_are_the_means_of_their_rows(spark):
+    point = F.array(*[F.rand(s) * 10 for s in (1, 2, 3)])
+    data = spark.range(0, 600, 1, 4).select(F.col("id").alias("gene_id"), array_to_vector(point).alias("features"))
+    found = fit_clusters(data.checkpoint(), k=4, rounds=200)
+    assert found.settled and all(a >= b - 1e-9 for a, b in zip(found.cost, found.cost[1:], strict=False))
+    values, _ = arrays(found.rows, "gene_id", "features")
+    labels = np.array([r.cluster for r in found.rows.orderBy("gene_id").collect()])
+    for r in found.centres.collect():
+        assert np.allclose(values[labels == r.cluster].mean(axis=0), r.centre)
+    gaps = ((values[:, None, :] - np.array([r.centre for r in found.centres.orderBy("cluster").collect()])) ** 2).sum(axis=2)
+    assert (gaps.argmin(axis=1) == labels).all()
+    assert found.cost[-1] == pytest.approx(gaps.min(axis=1).sum())
+
+
+def test_fewer_points_than_clusters(spark):
+    df = spark.createDataFrame([(i, [float(i % 2)]) for i in range(6)], "gene_id long, a array<double>")
+    df = df.select("gene_id", array_to_vector("a").alias("features"))
+    found = fit_clusters(df, k=4)
+    assert sorted(r.cluster for r in found.rows.collect()) == [0, 0, 0, 1, 1, 1]
+    assert fit_clusters(df.limit(0), k=4).rows.count() == 0
+
+
+def test_labels_do_not_depend_on_the_layout(vectors):
+    labels = [
+        rows(cluster_entities(vectors.repartition(n), "vec_id", k=5), "vec_id", "cluster") for n in (1, 16, 200)
+    ]
+    assert labels[0] == labels[1] == labels[2]
+
+
 def test_each_row_is_nearest_its_own_center(x):
     out = cluster_time_profiles(x, 100, 4, t="hrs")
     profiles = time_profiles(x, time_axis(x, "hrs"), t="hrs")

@@ -1,7 +1,4 @@
-"""DuckDB SQL for the queries. Doubles are rounded to six places on both sides.
-
-Missing here, and checked by invariants in the tests: queries whose result is a k-means labelling.
-"""
+"""DuckDB SQL for the queries. Doubles are rounded to six places on both sides."""
 
 from __future__ import annotations
 
@@ -203,7 +200,99 @@ l AS (
 p AS (SELECT t.*, cluster, 1000000.0 * r + q AS level FROM t JOIN l ON gene_id % 5 = r)
 """
 
+
+
+def clustered(points: str, k: int = 5, seed: int = 42, rounds: int = 20) -> str:
+    """CTEs that end in ``labels`` (key, f, cluster), the k-means of a table of (key, f)."""
+
+    def race(turn: str, far: str) -> str:
+        name = f"md5(concat_ws(':', key::VARCHAR, '{seed}', ({turn})::VARCHAR))"
+        return f"-ln((('0x' || substr({name}, 1, 12))::BIGINT + 1) / 281474976710657.0) / {far}"
+
+    def gap(centre: str) -> str:
+        pairs = f"list_zip(f, {centre})"
+        return f"list_sum(list_transform({pairs}, lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+    return f"""
+points AS MATERIALIZED ({points}),
+seeds AS (
+  SELECT 1 AS i, [arg_min(f, [{race("0", "1.0")}, key::DOUBLE])] AS c FROM points
+  UNION ALL
+  SELECT i + 1, list_append(ANY_VALUE(c), arg_min(f, [{race("i", "far")}, key::DOUBLE]))
+  FROM (SELECT i, c, f, key, list_min(list_transform(c, lambda m: {gap("m")})) AS far FROM seeds, points
+        WHERE i < {k})
+  WHERE far > 0 GROUP BY i
+),
+lloyd AS (
+  SELECT 0 AS turn, c FROM seeds WHERE i = {k}
+  UNION ALL
+  SELECT turn + 1, list(m ORDER BY l) FROM (
+    SELECT turn, l, list(x ORDER BY slot) AS m FROM (
+      SELECT turn, l, slot, AVG(f[slot]) AS x FROM (
+        SELECT turn, f, UNNEST(range(1, len(f) + 1)) AS slot,
+               list_position(list_transform(c, lambda m: {gap("m")}), list_min(list_transform(c, lambda m: {gap("m")}))) AS l
+        FROM lloyd, points WHERE turn < {rounds})
+      GROUP BY turn, l, slot)
+    GROUP BY turn, l)
+  GROUP BY turn
+),
+placed AS (
+  SELECT key, f, list_position(list_transform(c, lambda m: {gap("m")}), list_min(list_transform(c, lambda m: {gap("m")}))) AS l
+  FROM lloyd, points WHERE turn = {rounds}
+),
+labels AS (
+  SELECT key, f, CAST(DENSE_RANK() OVER (ORDER BY least) - 1 AS INTEGER) AS cluster
+  FROM (SELECT *, MIN(key) OVER (PARTITION BY l) AS least FROM placed)
+)"""
+
+
+TIME_CLUSTERS = (
+    MEANS
+    + f""",
+most AS (
+  SELECT gene_id FROM ({VARIABILITY}) ORDER BY variance DESC NULLS LAST, gene_id LIMIT 500
+),
+axis AS (SELECT DISTINCT hrs FROM x),
+"""
+    + clustered(
+        """
+  SELECT most.gene_id AS key, list(COALESCE(m, 0.0) ORDER BY axis.hrs) AS f
+  FROM most CROSS JOIN axis
+  LEFT JOIN means ON means.gene_id = most.gene_id AND means.hrs = axis.hrs
+  GROUP BY most.gene_id"""
+    ).strip()
+)
+
+SILHOUETTE = f"""
+sizes AS (SELECT cluster, COUNT(*) AS n FROM labels GROUP BY cluster),
+sums AS (
+  SELECT a.key, a.cluster AS own, b.cluster AS other,
+         SUM(list_dot_product(a.f, a.f) - 2 * list_dot_product(a.f, b.f) + list_dot_product(b.f, b.f)) AS d
+  FROM labels a CROSS JOIN labels b GROUP BY ALL
+),
+ab AS (
+  SELECT key, MAX(CASE WHEN own = other THEN d / (n - 1) END) AS a,
+         MIN(CASE WHEN own <> other THEN d / n END) AS b, MAX(CASE WHEN own = other THEN n END) AS size
+  FROM sums JOIN sizes ON sizes.cluster = other GROUP BY key
+)
+SELECT {r6("AVG(CASE WHEN size = 1 THEN 0.0 ELSE (b - a) / GREATEST(a, b) END)", "silhouette")}
+FROM ab"""
+
 ORACLES: dict[str, str] = {
+    # ---- k-means
+    "cluster_entities": with_(
+        clustered("SELECT vec_id AS key, embedding::DOUBLE[] AS f FROM embeddings"),
+        "SELECT key AS vec_id, cluster FROM labels",
+    ),
+    "time_cluster_labels": with_(TIME_CLUSTERS, "SELECT key AS gene_id, cluster FROM labels"),
+    "time_cluster_profiles": with_(
+        TIME_CLUSTERS,
+        f"""SELECT cluster, hrs, {r6("AVG(m)", "mean_expr")}, ANY_VALUE(size) AS n_entities
+FROM means JOIN (SELECT key, cluster, COUNT(*) OVER (PARTITION BY cluster) AS size FROM labels)
+  ON key = gene_id
+GROUP BY cluster, hrs""",
+    ),
+    "time_cluster_silhouette": with_(TIME_CLUSTERS, "," + SILHOUETTE),
     "planted_clusters": PLANTED + "SELECT gene_id, cluster FROM p",
     "planted_centres": PLANTED
     + f"""SELECT cluster, 0 AS slot, COUNT(*) AS n_entities, {r6("AVG(level)", "value")}
