@@ -31,13 +31,46 @@ def library_sizes(
     return counts.groupBy(*key_list(sample)).agg(F.sum(count).alias("library_size"))
 
 
+def _fills(absent: str) -> bool:
+    """Whether absent cells count as zeros."""
+    if absent not in ("skip", "zero"):
+        raise ValueError(f"absent must be 'skip' or 'zero', not {absent!r}")
+    return absent == "zero"
+
+
 def entity_variability(
     normalized: DataFrame,
     entity: str = "gene_id",
     sample: str = "sample_id",
     value: str = "log2_cpm",
+    absent: str = "skip",
+    samples: DataFrame | None = None,
 ) -> DataFrame:
-    """Sample variance, mean and row count per entity; one row gives a null variance."""
+    """Sample variance, mean and row count per entity; one row gives a null variance.
+
+    With ``absent="zero"`` every sample an entity has no row of counts as a zero, in closed form from
+    the moments of the rows present and the number of samples, so no pair of entity and sample is made.
+    ``samples`` lists the samples, by default those of ``normalized``, which has a row per entity and
+    sample at most. A null value is unknown and no zero: its sample is left out for that entity.
+    ``n_samples`` then is the number of samples that count.
+    """
+    if _fills(absent):
+        total = (normalized if samples is None else samples).agg(F.count_distinct(sample)).first()[0]
+        found = normalized.groupBy(entity).agg(
+            F.coalesce(F.var_samp(value), F.lit(0.0)).alias("__var"),
+            F.coalesce(F.avg(value), F.lit(0.0)).alias("__mean"),
+            F.count(value).alias("__n"),
+            (F.lit(total) - F.count_if(F.col(value).isNull())).alias("n_samples"),
+        )
+        n, size, mean = F.col("__n"), F.col("n_samples"), F.col("__mean")
+        squares = F.greatest(n - 1, F.lit(0)) * F.col("__var")
+        squares = squares + F.try_divide(mean * mean * n * (size - n), size)
+        return found.select(
+            entity,
+            F.try_divide(squares, size - 1).alias("variance"),
+            F.try_divide(mean * n, size).alias("mean_expr"),
+            "n_samples",
+        )
     return normalized.groupBy(entity).agg(
         F.var_samp(value).alias("variance"),
         F.avg(value).alias("mean_expr"),
@@ -52,8 +85,35 @@ def mean_by_time(
     value: str = "log2_cpm",
     also: Sequence[str] = (),
     out: str = "mean_log2_cpm",
+    absent: str = "skip",
+    sample: str = "sample_id",
+    samples: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean level per entity and time; ``also`` adds columns that go with the time."""
+    """Mean level per entity and time; ``also`` adds columns that go with the time.
+
+    With ``absent="zero"`` every entity has every time, and each sample of a time that the entity has
+    no row of counts as a zero: sums are divided by the number of samples of the time. ``samples``
+    lists the samples with their times, by default those of ``normalized``. A null value is unknown
+    and no zero; a time with nothing but such values has a null mean. Only the time axis is collected.
+    """
+    if _fills(absent):
+        key = [t, *also]
+        listed = (normalized if samples is None else samples).groupBy(*key)
+        axis = listed.agg(F.count_distinct(sample).alias("n")).orderBy(*key).collect()
+        kinds = {f.name: f.dataType for f in normalized.select(*key).schema}
+        place = lambda row: F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in key])
+        places = [F.struct(place(r).alias("place"), F.lit(r["n"]).alias("n")) for r in axis]
+        sums = F.struct(F.sum(value).alias("total"), F.count_if(F.col(value).isNull()).alias("unknown"))
+        cells = normalized.groupBy(entity, *key).agg(sums.alias("__cell"))
+        entries = F.collect_list(F.struct(F.struct(*key), "__cell"))
+        rows = cells.groupBy(entity).agg(F.map_from_entries(entries).alias("__cells"))
+        if not places:
+            return rows.select(entity, *[F.lit(None).cast(kinds[c]).alias(c) for c in key], F.lit(0.0).alias(out))
+        rows = rows.select(entity, "__cells", F.inline(F.array(*places)))
+        cell = F.try_element_at("__cells", F.col("place"))
+        known = F.col("n") - F.coalesce(cell["unknown"], F.lit(0))
+        mean = F.try_divide(F.coalesce(cell["total"], F.lit(0.0)), known)
+        return rows.select(entity, *[F.col("place")[c].alias(c) for c in key], mean.alias(out))
     return normalized.groupBy(entity, t, *also).agg(F.avg(value).alias(out))
 
 

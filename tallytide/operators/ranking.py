@@ -21,8 +21,12 @@ def top_variable(
     entity: str = "gene_id",
     sample: str = "sample_id",
     value: str = "log2_cpm",
+    absent: str = "skip",
+    samples: DataFrame | None = None,
 ) -> DataFrame:
-    return top_n(entity_variability(normalized, entity, sample, value), "variance", n, entity)
+    """The ``n`` entities of largest variance; for ``absent`` see ``entity_variability``."""
+    spread = entity_variability(normalized, entity, sample, value, absent, samples)
+    return top_n(spread, "variance", n, entity)
 
 
 def top_changed(changes: DataFrame, n: int = 50, entity: str = "gene_id") -> DataFrame:

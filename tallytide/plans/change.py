@@ -22,9 +22,17 @@ def fold_change(
     t: str = "hours",
     value: str = "log2_cpm",
     also: Sequence[str] = ("time_point",),
+    absent: str = "skip",
+    sample: str = "sample_id",
+    samples: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean level per entity and time after the baseline, minus the entity's baseline mean."""
-    means = mean_by_time(normalized, entity, t, value, also)
+    """Mean level per entity and time after the baseline, minus the entity's baseline mean.
+
+    With ``absent="zero"`` every entity has a baseline and all times; see ``mean_by_time``.
+    """
+    means = mean_by_time(
+        normalized, entity, t, value, also, absent=absent, sample=sample, samples=samples
+    )
     return attach_baseline(means, baseline, entity, t).withColumn(
         "log2fc", log2fc("mean_log2_cpm", "ctrl_expr")
     )

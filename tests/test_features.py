@@ -147,3 +147,18 @@ def test_duplicate_key_error(spark):
     with pytest.raises(ValueError, match="counts: duplicate keys.*'a', '1A'"):
         require_unique(x, ["gene_id", "sample_id"], "counts")
     require_unique(x.dropDuplicates(["gene_id"]), ["gene_id", "sample_id"], "counts")
+
+
+def test_absent_cells_count_as_zeros_and_null_values_do_not(spark):
+    x = leveled(spark, [("a", "1A", 0, 4.0), ("a", "2A", 5, None), ("b", "1A", 0, 2.0), ("b", "3A", 5, 6.0)])
+    spread = {r.gene_id: (r.n_samples, r.mean_expr, r.variance) for r in entity_variability(x, absent="zero").collect()}
+    assert spread["a"] == (2, 2.0, 8.0)
+    assert spread["b"][:2] == (3, pytest.approx(8 / 3)) and spread["b"][2] == pytest.approx(28 / 3)
+    means = {(r.gene_id, r.hours): r.mean_log2_cpm for r in mean_by_time(x, absent="zero").collect()}
+    assert means == {("a", 0): 4.0, ("a", 5): 0.0, ("b", 0): 2.0, ("b", 5): 3.0}
+    more = leveled(spark, [("-", s, t, 0.0) for s, t in (("1A", 0), ("4A", 0), ("2A", 5), ("3A", 5), ("5A", 9))])
+    means = {(r.gene_id, r.hours): r.mean_log2_cpm for r in mean_by_time(x, absent="zero", samples=more).collect()}
+    assert means[("a", 0)] == 2.0 and means[("b", 9)] == 0.0 and len(means) == 6
+    assert mean_by_time(x.limit(0), absent="zero").count() == 0
+    with pytest.raises(ValueError, match="absent"):
+        entity_variability(x, absent="maybe")

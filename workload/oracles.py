@@ -278,7 +278,38 @@ ab AS (
 SELECT {r6("AVG(CASE WHEN size = 1 THEN 0.0 ELSE (b - a) / GREATEST(a, b) END)", "silhouette")}
 FROM ab"""
 
+#: Every entity with every sample, the absent ones as zeros.
+DENSE = (
+    X
+    + """,
+dense AS (
+  SELECT g.gene_id, s.sample_id, s.hrs, COALESCE(x.e, 0.0) AS e
+  FROM (SELECT DISTINCT gene_id FROM x) g CROSS JOIN (SELECT DISTINCT sample_id, hrs FROM x) s
+  LEFT JOIN x ON x.gene_id = g.gene_id AND x.sample_id = s.sample_id
+),
+level AS (SELECT gene_id, hrs, AVG(e) AS m FROM dense GROUP BY ALL)"""
+)
+
 ORACLES: dict[str, str] = {
+    # ---- absent cells as zeros
+    "entity_variability_dense": with_(
+        DENSE,
+        f"""SELECT gene_id, {r6("VAR_SAMP(e)", "variance")}, {r6("AVG(e)", "mean_expr")},
+       COUNT(*) AS n_samples FROM dense GROUP BY gene_id""",
+    ),
+    "mean_by_time_dense": with_(DENSE, f"SELECT gene_id, hrs, {r6('m', 'mean_log2_cpm')} FROM level"),
+    "top_variable_dense": with_(
+        DENSE,
+        f"""SELECT gene_id, {r6("variance", "variance")} FROM (
+  SELECT gene_id, VAR_SAMP(e) AS variance FROM dense GROUP BY gene_id
+  ORDER BY variance DESC, gene_id LIMIT 100)""",
+    ),
+    "fold_change_dense": with_(
+        DENSE,
+        f"""SELECT a.gene_id, a.hrs, {r6("a.m", "mean_log2_cpm")}, {r6("b.m", "ctrl_expr")},
+       {r6("a.m - b.m", "log2fc")}
+FROM level a JOIN level b ON a.gene_id = b.gene_id AND b.hrs = 0 WHERE a.hrs > 0""",
+    ),
     # ---- k-means
     "cluster_entities": with_(
         clustered("SELECT vec_id AS key, embedding::DOUBLE[] AS f FROM embeddings"),

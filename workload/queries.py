@@ -577,6 +577,31 @@ def silhouette(spark, sf):
     return tidy(ml.silhouette(fx.vectors(spark, sf), label="label"), "silhouette")
 
 
+# ---- absent cells as zeros ---------------------------------------------------------------------
+
+
+@query
+def entity_variability_dense(spark, sf):
+    return tidy(ag.entity_variability(fx.normalized(spark, sf), absent="zero"), "variance", "mean_expr")
+
+
+@query
+def mean_by_time_dense(spark, sf):
+    return tidy(ag.mean_by_time(fx.normalized(spark, sf), t="hrs", absent="zero"), "mean_log2_cpm")
+
+
+@query
+def top_variable_dense(spark, sf):
+    top = rk.top_variable(fx.normalized(spark, sf), 100, absent="zero")
+    return tidy(top.select("gene_id", "variance"), "variance")
+
+
+@query
+def fold_change_dense(spark, sf):
+    found = plans.fold_change(fx.normalized(spark, sf), t="hrs", also=(), absent="zero")
+    return tidy(found, "mean_log2_cpm", "ctrl_expr", "log2fc")
+
+
 # ---- pipelines ---------------------------------------------------------------------------------
 
 
