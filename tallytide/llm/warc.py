@@ -270,6 +270,42 @@ def assemble(records: DataFrame) -> DataFrame:
     )
 
 
+def restored(records: DataFrame, id_type: str = "bigint") -> DataFrame:
+    """Captures with page_id, ``refers_to_page``, and size and digest of the payload that was read.
+
+    A revisit has those of the response it names. Size and digest are computed from the payload, not
+    taken from headers or fields. The query fails on a record that is not sound, on a digest or size
+    that is not the one stated, and on a revisit whose response is missing.
+    """
+    wrong = F.expr("raise_error(concat('archive record is not sound: ', record_id))")
+    captures = assemble(records).withColumns(
+        {
+            "page_id": F.col("metadata.fields").getItem("page-id").cast(id_type),
+            "stated_bytes": F.col("metadata.fields").getItem("payload-bytes").cast("bigint"),
+            "own_bytes": F.octet_length("payload").cast("bigint"),
+            "own_digest": F.concat(F.lit("sha1:"), payload_digest(F.col("payload"))),
+        }
+    )
+    revisited = captures.filter("refers_to IS NOT NULL").groupBy("refers_to").agg(F.count("*").alias("n"))
+    responses = captures.filter("type = 'response'").select(
+        F.col("record_id").alias("refers_to"),
+        F.col("page_id").alias("refers_to_page"),
+        F.col("own_bytes").alias("seen_bytes"),
+        F.col("own_digest").alias("seen_digest"),
+    )
+    named = revisited.join(responses, "refers_to")
+    found = lookup_join(captures, named, "refers_to", "left", rows="n")
+    size, digest = F.coalesce("own_bytes", "seen_bytes"), F.coalesce("own_digest", "seen_digest")
+    agrees = F.col("sound") & (digest == F.col("payload_digest")) & (size == F.col("stated_bytes"))
+    sound = F.coalesce(agrees, F.lit(False))
+    return found.withColumns(
+        {
+            "payload_bytes": F.when(sound, size).otherwise(wrong.cast("bigint")),
+            "payload_digest": F.when(sound, digest).otherwise(wrong),
+        }
+    ).drop("stated_bytes", "own_bytes", "own_digest", "seen_bytes", "seen_digest")
+
+
 def archive_round_trip(
     pages: DataFrame,
     page_id: str = "page_id",
@@ -279,7 +315,8 @@ def archive_round_trip(
 ) -> DataFrame:
     """Write ``pages`` as archives in the shared folder, read them back and assemble the captures.
 
-    Adds page_id and payload_bytes from the metadata and ``refers_to_page``, the page revisited.
+    Adds page_id from the metadata, payload_bytes and payload_digest of the payload read back, and
+    ``refers_to_page``, the page revisited; see ``restored``.
 
     Null payloads and urls are empty. Rows that repeat id, url and payload are one capture; rows
     that share an id only are captures of their own. A null id is written and read as null, and
@@ -290,15 +327,4 @@ def archive_round_trip(
     path = scratch_path(spark, "archives")
     write_archives(pages, path, page_id, url, html, least_bytes)
     records = written(read_archives(spark, path), "records")
-    captures = assemble(records).withColumns(
-        {
-            "page_id": F.col("metadata.fields").getItem("page-id").cast(pages.schema[page_id].dataType),
-            "payload_bytes": F.col("metadata.fields").getItem("payload-bytes").cast("bigint"),
-        }
-    )
-    revisited = captures.filter("refers_to IS NOT NULL").groupBy("refers_to").agg(F.count("*").alias("n"))
-    responses = captures.filter("type = 'response'").select(
-        F.col("record_id").alias("refers_to"), F.col("page_id").alias("refers_to_page")
-    )
-    named = revisited.join(responses, "refers_to")
-    return lookup_join(captures, named, "refers_to", "left", rows="n")
+    return restored(records, pages.schema[page_id].dataType.simpleString())

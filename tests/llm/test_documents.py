@@ -7,6 +7,7 @@ import hashlib
 import re
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -83,6 +84,37 @@ def test_archives_round_trip(spark):
     assert archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_the_query_over_all_pages(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    first = {}
+    for r in sorted(pages, key=lambda r: r.page_id):
+        first[r.html or ""] = r.page_id
+    expected = []
+    for r in pages:
+        body, top = (r.html or "").encode(), first[r.html or ""]
+        sha = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        kind = ("response", None) if top == r.page_id else ("revisit", top)
+        expected.append((r.page_id, len(body), sha, *kind))
+    found = queries.op6_warc(spark, SF)
+    assert found.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_an_altered_archive_fails(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "a", "<p>one</p>"), (2, "b", "<p>one</p>"), (3, "c", "two")], "page_id bigint, url string, html string")
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "a"))
+    content = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "a").glob("*.gz"))
+    for name, old, new, fails in (("same", b"two", b"two", False), ("payload", b"<p>one", b"<p>zzz", True), ("size", b"payload-bytes: 3", b"payload-bytes: 4", True), ("revisit", b"Refers-To: <urn:uuid:", b"Refers-To: <urn:uuid:0", True)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.gz").write_bytes(gzip.compress(content.replace(old, new)))
+        read = warc.restored(warc.read_archives(spark, str(tmp_path / name)))
+        if fails:
+            with pytest.raises(Exception, match="not sound"):
+                read.select("payload_bytes", "payload_digest").collect()
+        else:
+            assert sorted(r.payload_bytes for r in read.collect()) == [3, 10, 10]
+
+
 def test_records_gzipped_one_by_one_are_read():
     record = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <x>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     for content in (record * 2, gzip.compress(record) * 2, gzip.compress(record * 2)):
