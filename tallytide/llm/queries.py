@@ -112,6 +112,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op12_manifest": """
+        WITH RECURSIVE raw AS (
+          SELECT *, row_number() OVER () AS rid, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g,
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+            xor(list_reduce(
+              list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+              lambda x, o: CASE WHEN o >= 0 THEN xor(x, o) WHEN x % 2 = 1 THEN xor(x // 2, 3988292384)
+                ELSE x // 2 END), 4294967295) AS crc
+          FROM documents),
+        named AS (
+          SELECT *, concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+            coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+            coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head
+          FROM raw),
+        leaves AS (
+          SELECT rid, doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-'))
+              ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS claimed
+          FROM named),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+            count(*) OVER (PARTITION BY g) AS n FROM leaves),
+        nodes AS (
+          SELECT g, 0 AS level, pos, leaf AS h, n FROM placed
+          UNION ALL
+          SELECT g, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8
+          FROM nodes WHERE n > 1 GROUP BY g, level, pos // 8, n),
+        subs AS (SELECT g, h AS subroot, level AS height FROM nodes WHERE n = 1),
+        tops AS (
+          SELECT 0 AS g, 0 AS level, g - 1 AS pos, subroot AS h, (SELECT count(*) FROM subs) AS n FROM subs
+          UNION ALL
+          SELECT 0, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8
+          FROM tops WHERE n > 1 GROUP BY level, pos // 8, n),
+        whole AS (SELECT * FROM nodes UNION ALL SELECT * FROM tops),
+        steps AS (
+          SELECT a.g, a.level, a.pos,
+            coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+            coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+          FROM whole a JOIN whole b ON a.g = b.g AND a.level = b.level AND a.pos // 8 = b.pos // 8
+          WHERE a.n > 1 GROUP BY a.g, a.level, a.pos),
+        folds AS (
+          SELECT rid, g, height, 0 AS level, CASE WHEN height = 0 THEN g - 1 ELSE pos END AS pos,
+            claimed AS h, '' AS proof FROM placed JOIN subs USING (g)
+          UNION ALL
+          SELECT rid, f.g, height, f.level + 1, CASE WHEN f.level + 1 = height THEN f.g - 1 ELSE f.pos // 8 END,
+            sha256(l || f.h || r), proof || l || r
+          FROM folds f JOIN steps s ON s.g = (CASE WHEN f.level < height THEN f.g ELSE 0 END)
+            AND s.level = (CASE WHEN f.level < height THEN f.level ELSE f.level - height END) AND s.pos = f.pos),
+        ends AS (SELECT rid, arg_max(h, level) AS folded_root, sha256(arg_max(proof, level)) AS proof_sha256
+                 FROM folds GROUP BY rid)
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+        FROM leaves JOIN subs USING (g) JOIN ends USING (rid), (SELECT h AS root FROM tops WHERE n = 1)
+    """,
     "op10_exact_dedup": """
         WITH d AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
