@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallytide.llm.common import ascii_lower, written
-from tallytide.operators.sizing import Settled, lookup_join, settle
+from tallytide.operators.sizing import Settled, broadcast_join, lookup_join, settle
 
 RUN = "[A-Za-zÀ-ÿ]+"
 #: Levels of the trie that one job builds; words that share longer prefixes take further jobs.
 STRATUM = 32
+#: Bytes up to which a level of the trie is broadcast; the driver holds each broadcast several times.
+SMALL = 4 * 1024 * 1024
 #: Powers of two by which a trie without branches is skipped.
 SKIPS = [1 << i for i in range(20)]
 
@@ -105,7 +107,7 @@ class Trie:
         deeper = self.live.filter(F.char_length("word") >= self.depth + STRATUM).selectExpr(
             "word", "n", f"xxhash64(node, substring(word, {self.depth + 1}, {STRATUM})) AS node"
         )
-        self.live = written(lookup_join(deeper, shared, "node", "left_semi"), "live")
+        self.live = written(lookup_join(deeper, shared, "node", "left_semi", limit_bytes=SMALL), "live")
         self.depth += STRATUM
         self.edges = written(_edges(self.live, self.depth), "edges")
 
@@ -149,14 +151,23 @@ def _fresh_states(level: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _meet(states: DataFrame, level: Settled, on: list[str], *columns: str) -> DataFrame:
+    """States with the edges of a level, whose size is known; states without an edge stay.
+
+    A node is in as many states as there are prefixes within one edit of it, so no key is heavy.
+    """
+    edges = level.table.selectExpr(*columns)
+    return broadcast_join(states, edges, on, "left") if level.bytes <= SMALL else states.join(edges, on, "left")
+
+
 def _advance(states: DataFrame, trie: Trie, depth: int) -> DataFrame:
     """States whose word side stands at ``depth`` go one equal letter down on both sides.
 
     A side with one word left is read off that word. The letter after an additional one must differ
     from it, so that a longer word is reached one way only.
     """
-    own = trie.level(depth).table.selectExpr("node AS p", "ch", "child AS p2", "word AS w2", "n AS n2")
-    moved = lookup_join(states, own, "p", "left").selectExpr(
+    columns = ("ch", "word AS w2", "n AS n2")
+    moved = _meet(states, trie.level(depth), ["p"], "node AS p", "child AS p2", *columns).selectExpr(
         "coalesce(p2, p) AS p",
         "coalesce(p_word, w2) AS p_word",
         "coalesce(p_n, n2) AS p_n",
@@ -167,10 +178,8 @@ def _advance(states: DataFrame, trie: Trie, depth: int) -> DataFrame:
     met = []
     for extra in (0, 1):
         part = moved.filter(F.col("extra") == extra)
-        other = trie.level(depth + extra).table.selectExpr(
-            "node AS q", "ch", "child AS q2", "word AS w2", "n AS n2"
-        )
-        part = lookup_join(part, other, ["q", "ch"], "left")
+        level = trie.level(depth + extra)
+        part = _meet(part, level, ["q", "ch"], "node AS q", "child AS q2", *columns)
         part = part.filter(f"q2 IS NOT NULL OR substring(q_word, {depth + extra + 1}, 1) = ch")
         met.append(
             part.selectExpr(
@@ -239,7 +248,7 @@ def _roots(forms: DataFrame) -> DataFrame:
         step = ways.select(F.col("word").alias("root"), F.col("root").alias("next"))
         seen = Observation()
         ways = written(
-            lookup_join(ways, step, "root", "left")
+            lookup_join(ways, step, "root", "left", limit_bytes=SMALL)
             .observe(seen, F.count("next").alias("moved"))
             .select("word", F.coalesce("next", "root").alias("root")),
             "roots",
@@ -286,7 +295,8 @@ def spelling_variants(
         "near",
     )
     roots = _roots(best.filter("form IS NOT NULL"))
-    named = lookup_join(lookup_join(words, best, "word", "left"), roots, "word", "left")
+    # one row per word on all sides
+    named = words.join(best, "word", "left").join(roots, "word", "left")
     return named.select(
         "word",
         "form",
