@@ -98,8 +98,11 @@ def r6(expression: str, name: str) -> str:
     return f"ROUND({expression}, 6) + 0.0 AS {name}"
 
 
-def principal_axes(source: str, k: int, squarings: int = 40) -> str:
-    """CTEs for the leading eigenpairs of the covariance of ``source`` (row id, i, val).
+def principal_axes(
+    source: str, k: int, squarings: int = 40, cell: str = "COVAR_SAMP(a.val, b.val)"
+) -> str:
+    """CTEs for the leading eigenpairs of the covariance of ``source`` (row id, i, val), or of the
+    matrix with other cells.
 
     Squaring a symmetric matrix again and again leaves the projector on its leading axis; taking
     that axis out and repeating gives the next one. ``axis1 .. axisk`` hold the loadings, with the
@@ -108,7 +111,7 @@ def principal_axes(source: str, k: int, squarings: int = 40) -> str:
     parts = [
         f"""
 cov AS (
-  SELECT a.i AS i, b.i AS j, COVAR_SAMP(a.val, b.val) AS c
+  SELECT a.i AS i, b.i AS j, {cell} AS c
   FROM {source} a JOIN {source} b USING (id) GROUP BY a.i, b.i
 ),
 total AS (SELECT SUM(c) AS tr FROM cov WHERE i = j),
@@ -189,6 +192,27 @@ z AS (
 )"""
 )
 
+#: Every entity's z-scores over all samples: row id = entity, i = sample.
+WIDE_Z = (
+    X
+    + """,
+meta AS (
+  SELECT sample_id, hrs, rep, CAST(ROW_NUMBER() OVER (ORDER BY sample_id) AS INTEGER) AS i
+  FROM (SELECT DISTINCT sample_id, hrs, rep FROM x)
+),
+dense AS (
+  SELECT g.gene_id, meta.i, COALESCE(x.e, 0.0) AS val
+  FROM (SELECT DISTINCT gene_id FROM x) g CROSS JOIN meta
+  LEFT JOIN x ON x.sample_id = meta.sample_id AND x.gene_id = g.gene_id
+),
+z AS (
+  SELECT gene_id AS id, i,
+         CASE WHEN STDDEV_SAMP(val) OVER w = 0 THEN 0.0
+              ELSE (val - AVG(val) OVER w) / STDDEV_SAMP(val) OVER w END AS val
+  FROM dense WINDOW w AS (PARTITION BY gene_id)
+)"""
+)
+
 PLANTED = """
 WITH t AS (
   SELECT l_partkey AS gene_id, SUM(l_quantity) AS q, COUNT(*) AS n FROM lineitem GROUP BY l_partkey
@@ -291,6 +315,34 @@ level AS (SELECT gene_id, hrs, AVG(e) AS m FROM dense GROUP BY ALL)"""
 )
 
 ORACLES: dict[str, str] = {
+    # ---- batches of samples and all entities
+    "batched_variability": with_(
+        X,
+        f"""SELECT gene_id, {r6("VAR_SAMP(e)", "variance")}, {r6("AVG(e)", "mean_expr")},
+       COUNT(*) AS n_samples FROM x GROUP BY gene_id""",
+    ),
+    "batched_totals": with_(
+        C, "SELECT gene_id, CAST(SUM(n) AS BIGINT) AS total_count FROM c GROUP BY gene_id"
+    ),
+    "batched_libraries": with_(
+        C, "SELECT sample_id, CAST(SUM(n) AS BIGINT) AS library_size FROM c GROUP BY sample_id"
+    ),
+    "wide_pca": with_(
+        WIDE_Z + "," + principal_axes("z", 2, cell="SUM(a.val * b.val)"),
+        f""",
+loads AS (
+  SELECT id, SUM(val * axis1.u[i]) AS l1, SUM(val * axis2.u[i]) AS l2 FROM z, axis1, axis2 GROUP BY id
+),
+signs AS (
+  SELECT SIGN(ARG_MAX(l1, ABS(l1))) AS s1, SIGN(ARG_MAX(l2, ABS(l2))) AS s2 FROM loads
+)
+SELECT sample_id, hrs, rep, {r6("s1 * axis1.u[i] * SQRT(axis1.ev)", '"PC1"')},
+       {r6("s2 * axis2.u[i] * SQRT(axis2.ev)", '"PC2"')}
+FROM meta, axis1, axis2, signs""",
+    ),
+    "wide_pca_ratios": with_(
+        WIDE_Z + "," + principal_axes("z", 5, cell="SUM(a.val * b.val)"), ratio_rows(5)
+    ),
     # ---- absent cells as zeros
     "entity_variability_dense": with_(
         DENSE,

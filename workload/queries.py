@@ -18,6 +18,7 @@ from tallytide.operators import quality as qc
 from tallytide.operators import ranking as rk
 from tallytide.operators import reshape as rs
 from tallytide.operators import sets as st
+from tallytide.operators import states as sa
 from tallytide.sources import (
     read_annotation,
     read_count_matrix,
@@ -26,6 +27,7 @@ from tallytide.sources import (
     write_result,
     write_table,
 )
+from tallytide.plans.wide import wide_pca as pca_over_all
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -577,6 +579,51 @@ def silhouette(spark, sf):
     return tidy(ml.silhouette(fx.vectors(spark, sf), label="label"), "silhouette")
 
 
+# ---- batches of samples and all entities ---------------------------------------------------------
+
+
+def batches(rows: DataFrame) -> dict[str, DataFrame]:
+    """Three batches of samples, by time."""
+    return {f"b{i}": rows.filter(F.pmod("hrs", F.lit(3)) == i) for i in range(3)}
+
+
+def batched_counts(spark: SparkSession, sf: str) -> str:
+    path = fx.scratch_path(spark, "counts_states")
+    for name, rows in batches(fx.counts(spark, sf)).items():
+        sa.append_counts(rows, path, name, "n")
+    return path
+
+
+@query
+def batched_variability(spark, sf):
+    path = fx.scratch_path(spark, "moments")
+    for name, rows in batches(fx.normalized(spark, sf)).items():
+        sa.append_state(sa.moments(rows), path, name)
+    found = sa.variability(sa.merge_moments(sa.read_states(spark, path)))
+    return tidy(found, "variance", "mean_expr")
+
+
+@query
+def batched_totals(spark, sf):
+    return sa.read_totals(spark, batched_counts(spark, sf))
+
+
+@query
+def batched_libraries(spark, sf):
+    return sa.read_libraries(spark, batched_counts(spark, sf))
+
+
+@query
+def wide_pca(spark, sf):
+    found = pca_over_all(fx.normalized(spark, sf), 5, 2, KEYS)
+    return tidy(found.coordinates, "PC1", "PC2")
+
+
+@query
+def wide_pca_ratios(spark, sf):
+    return tidy(pca_over_all(fx.normalized(spark, sf), 5, 2, KEYS).ratios, "ratio")
+
+
 # ---- absent cells as zeros ---------------------------------------------------------------------
 
 
