@@ -327,6 +327,14 @@ ORACLES: dict[str, str] = {
     "batched_libraries": with_(
         C, "SELECT sample_id, CAST(SUM(n) AS BIGINT) AS library_size FROM c GROUP BY sample_id"
     ),
+    "bucketed_totals": with_(
+        X, "SELECT gene_id, CAST(SUM(n) AS BIGINT) AS total_count FROM x GROUP BY gene_id"
+    ),
+    "bucketed_variability": with_(
+        X,
+        f"""SELECT gene_id, {r6("VAR_SAMP(e)", "variance")}, {r6("AVG(e)", "mean_expr")},
+       COUNT(*) AS n_samples FROM x GROUP BY gene_id""",
+    ),
     "wide_pca": with_(
         WIDE_Z + "," + principal_axes("z", 2, cell="SUM(a.val * b.val)"),
         f""",

@@ -27,6 +27,7 @@ from tallytide.sources import (
     write_result,
     write_table,
 )
+from tallytide.sources.buckets import read_bucketed, write_bucketed
 from tallytide.plans.wide import wide_pca as pca_over_all
 from workload import fixtures as fx
 
@@ -613,6 +614,22 @@ def batched_libraries(spark, sf):
     return sa.read_libraries(spark, batched_counts(spark, sf))
 
 
+def bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    path = fx.scratch_path(spark, "bucketed")
+    write_bucketed(fx.normalized(spark, sf), path, "gene_id", 8)
+    return read_bucketed(spark, path, "gene_id", 8)
+
+
+@query
+def bucketed_totals(spark, sf):
+    return ag.entity_totals(bucketed(spark, sf), count="n")
+
+
+@query
+def bucketed_variability(spark, sf):
+    return tidy(ag.entity_variability(bucketed(spark, sf)), "variance", "mean_expr")
+
+
 @query
 def wide_pca(spark, sf):
     found = pca_over_all(fx.normalized(spark, sf), 5, 2, KEYS)
