@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +31,45 @@ ANNOTATION_COLUMNS = {
     "Immune Process": "immune_process",
 }
 
+#: Headers of files of at most so many bytes are read together.
+SMALL_FILE = 128 << 20
+
+
+def _header_lines(spark: SparkSession, path: str, up_to: int) -> list[tuple[str, list[str]]]:
+    """Distinct first lines of the files of at most ``up_to`` bytes, each with its files, from one job
+    that reads text and parses nothing."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_size").alias("size"),
+    )
+    firsts = (
+        lines.filter((F.col("size") <= up_to) & F.col("value").rlike(r"[^\x00-\x20]"))
+        .groupBy("file")
+        .agg(F.min_by("value", F.struct("start", "at")).alias("line"))
+    )
+    grouped = firsts.groupBy("line").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return [(r["line"], [unquote(f) for f in r["files"]]) for r in grouped.collect()]
+
 
 def _headers(spark: SparkSession, path: str) -> dict[tuple[str | None, ...], list[str]]:
-    """The files below ``path`` by their header; files need not share one column order."""
+    """The files below ``path`` by their header; files need not share one column order.
+
+    Files of at most ``SMALL_FILE`` bytes are read together in one job, however many there are; of a larger file a
+    job reads the first line.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    found = []
+    for line, files in _header_lines(spark, path, SMALL_FILE):
+        cells = spark.range(1).select(F.schema_of_csv(F.lit(line)).alias("kind"))
+        width = len(T.StructType.fromDDL(cells.first()["kind"]))
+        text = ", ".join(f"_c{i} string" for i in range(width))
+        found.append((files, spark.range(1).select(F.from_csv(F.lit(line), F.lit(text))).first()[0]))
+    for row in listed.filter(F.col("length") > SMALL_FILE).collect():
+        found.append(([row["path"]], spark.read.csv(row["path"], header=False, inferSchema=False).first()))
     by_header: dict[tuple[str | None, ...], list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        header = spark.read.csv(file, header=False, inferSchema=False).first()
+    for files, header in sorted(found, key=lambda f: f[0]):
         if header is not None:
-            by_header.setdefault(tuple(header), []).append(file)
+            by_header.setdefault(tuple(header), []).extend(files)
     if not by_header:
         raise ValueError(f"{path}: no header line")
     return by_header

@@ -314,7 +314,53 @@ dense AS (
 level AS (SELECT gene_id, hrs, AVG(e) AS m FROM dense GROUP BY ALL)"""
 )
 
+
+
+def bounded(keys: str) -> str:
+    return with_(
+        X,
+        f"""SELECT {keys}, COUNT(DISTINCT gene_id) AS n_genes, TRUE AS within_bounds
+FROM (SELECT x.*, p_type AS process FROM x JOIN part ON p_partkey = gene_id) GROUP BY {keys}""",
+    )
+
+
 ORACLES: dict[str, str] = {
+    # ---- sketches, the largest of every group, tables that stay whole
+    "sketched_by_process_time": bounded("process, hrs"),
+    "sketched_by_process": bounded("process"),
+    "sketched_by_time": bounded("hrs"),
+    "top_variable_per_process": with_(
+        X,
+        f""",
+v AS ({VARIABILITY}),
+r AS (SELECT p_type AS process, gene_id, variance,
+             CAST(ROW_NUMBER() OVER (PARTITION BY p_type ORDER BY variance DESC NULLS LAST, gene_id)
+                  AS INTEGER) AS rank
+      FROM v JOIN part ON p_partkey = gene_id)
+SELECT process, gene_id, {r6("variance", "variance")}, rank FROM r WHERE rank <= 10""",
+    ),
+    "top_changed_per_time": with_(
+        FC,
+        f""",
+r AS (SELECT hrs, gene_id, ABS(fc) AS a,
+             CAST(ROW_NUMBER() OVER (PARTITION BY hrs ORDER BY ABS(fc) DESC, gene_id) AS INTEGER)
+                 AS rank FROM fc)
+SELECT hrs, gene_id, {r6("a", "max_abs_log2fc")}, rank FROM r WHERE rank <= 25""",
+    ),
+    "published_round_trip": with_(
+        C, "SELECT gene_id, sample_id, hrs, rep, 2 * n AS n, 1 AS n_superseded FROM c"
+    ),
+    "replaced_partitions": with_(
+        C,
+        """SELECT hrs, CAST(SUM(CASE WHEN hrs = 2 THEN 3 * n ELSE n END) AS BIGINT) AS total_count,
+       COUNT(*) AS n_rows FROM c GROUP BY hrs""",
+    ),
+    "many_files_csv": with_(
+        WIDE,
+        """SELECT CAST(gene_id AS VARCHAR) AS gene_id, CAST("A" AS VARCHAR) AS "A",
+       CAST("N" AS VARCHAR) AS "N", CAST("R" AS VARCHAR) AS "R"
+FROM w CROSS JOIN (SELECT 1 UNION ALL SELECT 2)""",
+    ),
     # ---- batches of samples and all entities
     "batched_variability": with_(
         X,

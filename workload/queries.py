@@ -18,6 +18,7 @@ from tallytide.operators import quality as qc
 from tallytide.operators import ranking as rk
 from tallytide.operators import reshape as rs
 from tallytide.operators import sets as st
+from tallytide.operators import sketches as sk
 from tallytide.operators import states as sa
 from tallytide.sources import (
     read_annotation,
@@ -27,6 +28,13 @@ from tallytide.sources import (
     write_result,
     write_table,
 )
+from tallytide.sources.published import (
+    partition_rows,
+    publish_table,
+    read_published,
+    replace_partitions,
+    superseded,
+)
 from tallytide.sources.buckets import read_bucketed, write_bucketed
 from tallytide.plans.wide import wide_pca as pca_over_all
 from workload import fixtures as fx
@@ -641,6 +649,89 @@ def wide_pca_ratios(spark, sf):
     return tidy(pca_over_all(fx.normalized(spark, sf), 5, 2, KEYS).ratios, "ratio")
 
 
+# ---- distinct entities by sketches -------------------------------------------------------------
+
+
+def _rolled_up(spark: SparkSession, sf: str, keys: list[str]) -> DataFrame:
+    """Distinct entities per ``keys`` from sketches of (process, class, time), kept per batch of times
+    as Parquet, beside the exact number that they must bound."""
+    rows = jn.annotate(fx.normalized(spark, sf), fx.annotation(spark, sf))
+    path = fx.scratch_path(spark, "sketches")
+    for name, batch in batches(rows).items():
+        sa.append_state(sk.entity_sketches(batch, ["process", "class", "hrs"]), path, name)
+    found = sk.estimates(sk.roll_up(sa.read_states(spark, path), keys))
+    exact = rows.groupBy(*keys).agg(F.count_distinct("gene_id").alias("exact"))
+    both = exact.join(found, keys, "full") if keys else exact.crossJoin(found)
+    within = F.col("exact").between(F.col("n_genes_low"), F.col("n_genes_high"))
+    return both.select(*keys, F.col("exact").alias("n_genes"), within.alias("within_bounds"))
+
+
+@query
+def sketched_by_process_time(spark, sf):
+    return _rolled_up(spark, sf, ["process", "hrs"])
+
+
+@query
+def sketched_by_process(spark, sf):
+    return _rolled_up(spark, sf, ["process"])
+
+
+@query
+def sketched_by_time(spark, sf):
+    return _rolled_up(spark, sf, ["hrs"])
+
+
+# ---- the largest of every group ----------------------------------------------------------------
+
+
+@query
+def top_variable_per_process(spark, sf):
+    top = rk.top_variable_per(fx.normalized(spark, sf), fx.annotation(spark, sf), "process", 10)
+    return tidy(top.select("process", "gene_id", "variance", "rank"), "variance")
+
+
+@query
+def top_changed_per_time(spark, sf):
+    return tidy(rk.top_changed_per(changes(spark, sf), "hrs", 25), "max_abs_log2fc")
+
+
+# ---- tables that stay whole --------------------------------------------------------------------
+
+
+@query
+def published_round_trip(spark, sf):
+    """The second version, built from the first one while that is the one to read."""
+    path = fx.scratch_path(spark, "published")
+    publish_table(fx.counts(spark, sf), path, partition_by="hrs")
+    doubled = read_published(spark, path).withColumn("n", F.col("n") * 2)
+    publish_table(doubled, path, partition_by="hrs")
+    return read_published(spark, path, ["gene_id", "sample_id", "hrs", "rep", "n"]).withColumn(
+        "n_superseded", F.lit(len(superseded(spark, path)))
+    )
+
+
+@query
+def replaced_partitions(spark, sf):
+    """Counts of one time replaced by three times their size; the other times stay."""
+    path, counts = fx.scratch_path(spark, "replaced"), fx.counts(spark, sf)
+    write_table(counts, path, partition_by="hrs")
+    again = counts.filter("hrs = 2").withColumn("n", F.col("n") * 3)
+    replace_partitions(again, path, "hrs")
+    sums = read_table(spark, path).groupBy("hrs").agg(F.sum("n").alias("total_count"))
+    return sums.join(partition_rows(spark, path, "hrs"), "hrs")
+
+
+@query
+def many_files_csv(spark, sf):
+    """The wide matrix twice, each time in 16 files, the second time with its columns reversed."""
+    path, wide = fx.scratch_path(spark, "many"), fx.wide(spark, sf)
+    names = [c for c in wide.columns if c != "gene_id"]
+    for folder, order in (("a", names), ("b", names[::-1])):
+        part = wide.select("gene_id", *order).repartition(16)
+        write_result(part.withColumnRenamed("gene_id", ""), f"{path}/{folder}")
+    return read_count_matrix(spark, f"{path}/*")
+
+
 # ---- absent cells as zeros ---------------------------------------------------------------------
 
 
