@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from tallytide.llm.common import held_out, training_part, unit_hash, written
 
 FIT_ROWS = 40_000
-LEXICON_ROWS = 12_000
 LEXICON_TERMS = 400
 LEAST_TOXIC = 5
-CALIBRATION_SHARE = 0.25
+CALIBRATION_SHARE = 0.2
+LEXICON_SHARE = 0.4
 THRESHOLD = 0.7
 NEAR_WORDS = 5
 CACHED = 300_000
@@ -206,9 +206,10 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learn from about ``FIT_ROWS`` labelled documents outside the held-out third.
 
-    The lexicon comes from about ``LEXICON_ROWS`` of them and is bounded. A quarter of the rows is
-    kept from the trees and calibrates their probabilities. Labels of one id are merged to their
-    largest; null labels are ignored.
+    A hash of the id cuts them into three parts that share no document: ``CALIBRATION_SHARE`` of them
+    calibrates the probabilities, ``LEXICON_SHARE`` gives the lexicon, which is bounded, and the trees
+    are grown on the rest. So neither trees nor calibration see features flattered by a lexicon of
+    their own rows. Labels of one id are merged to their largest; null labels are ignored.
     """
     known = (
         labels.filter(training_part(doc_id) & F.col(toxic).isNotNull())
@@ -221,9 +222,11 @@ def fit_toxicity(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
-    lexicon = _lexicon(rows.filter(draw < LEXICON_ROWS / max(n, 1)))
-    sample = written(with_features(rows, lexicon, ["doc_id", "toxic"]), "features")
-    for_trees = unit_hash(F.col("doc_id"), seed=2) >= CALIBRATION_SHARE
+    part = unit_hash(F.col("doc_id"), seed=2)
+    for_trees = part >= CALIBRATION_SHARE + LEXICON_SHARE
+    for_lexicon = (part >= CALIBRATION_SHARE) & ~for_trees
+    lexicon = _lexicon(rows.filter(for_lexicon))
+    sample = written(with_features(rows.filter(~for_lexicon), lexicon, ["doc_id", "toxic"]), "features")
     sizes = {
         (r["t"], r["toxic"]): r["count"]
         for r in sample.groupBy(for_trees.alias("t"), "toxic").count().collect()
