@@ -109,9 +109,14 @@ def pivot_time(
     return pivot_values(means, [entity], t, times, value, F.max, fill)
 
 
-def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
-    """Numeric columns to one vector. Nulls must be filled first."""
-    return VectorAssembler(inputCols=list(columns), outputCol=out).transform(df)
+def assemble(
+    df: DataFrame, columns: Sequence[str], out: str = "features", nulls: str = "error"
+) -> DataFrame:
+    """Numeric columns to one vector.
+
+    Nulls must be filled first, or kept with ``nulls="keep"``: their slots then hold NaN.
+    """
+    return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid=nulls).transform(df)
 
 
 def feature_index(features: DataFrame, feature: str, order: Sequence[Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from helpers import rows
 from tallytide.operators import sizing
 from tallytide.operators.ml import cluster_entities, fit_clusters, misplaced, standardize
 from tallytide.sources import read_annotation, read_count_matrix, read_sample_metadata
+from workload.queries import QUERIES
 
 
 def put(folder, **files):
@@ -122,3 +123,17 @@ def test_clusters_are_numbered_by_their_smallest_key(spark):
     assert [tuple(r) for r in least.collect()] == [(0, 0), (1, 1), (2, 2), (3, 3)]
     assert sorted(r.centre[0] for r in found.centres.collect()) == [0.0, 100.0, 200.0, 300.0]
     assert tuple(misplaced(found).first()) == (40, 4, 0)
+
+
+def test_parts_without_a_flag_have_an_empty_slot(spark, tmp_path):
+    lines = [(1, "A", 2.0), (1, "A", 3.0), (1, "N", 4.0), (1, "R", 5.0), (2, "N", 6.0), (2, None, 7.0)]
+    lines += [(None, "R", None)]
+    made = spark.createDataFrame(lines, "l_partkey long, l_returnflag string, l_quantity double")
+    made.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = QUERIES["assemble"](spark, str(tmp_path))
+    assert found.dtypes == [("gene_id", "bigint"), ("slot", "int"), ("value", "double")]
+    assert rows(found) == sorted(
+        [(1, 0, 5.0), (1, 1, 4.0), (1, 2, 5.0), (2, 0, None), (2, 1, 6.0), (2, 2, None)]
+        + [(None, 0, None), (None, 1, None), (None, 2, None)],
+        key=repr,
+    )

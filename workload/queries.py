@@ -268,8 +268,11 @@ def heat_matrix(spark, sf):
 @query
 def assemble(spark, sf):
     wide = fx.wide(spark, sf)
-    flags = [c for c in wide.columns if c != "gene_id"]
-    return exploded(rs.assemble(wide, flags), ["gene_id"])
+    # lines without a flag have a column of their own, but no slot
+    flags = [c for c in wide.columns if c not in ("gene_id", "null")]
+    slots = exploded(rs.assemble(wide, flags, nulls="keep"), ["gene_id"])
+    # sums are whole numbers, so NaN only stands for a part without lines of that flag
+    return slots.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
 @query
