@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+#: Text that a cast to a whole number or to a decimal can take. A cast that fails raises inside the
+#: task, which costs a hundred times one that succeeds, so other text is not tried.
+WHOLE_TEXT = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+DECIMAL_TEXT = (
+    r"^[\x00-\x20]*[+-]?(\p{Nd}+\.?\p{Nd}*|\.\p{Nd}+)([eE][+-]?\p{Nd}+)?[\x00-\x20]*$"
+)
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,9 +46,13 @@ def _whole(x: ColumnOrName, to: str) -> Column:
     """Text to a whole number, truncating decimals; text that is no number becomes null.
 
     Plain integers take the first branch. The decimal detour runs only for what is left, such as
-    ``12.9``, and accepts exponents: ``1e3`` is 1000.
+    ``12.9``, and accepts exponents: ``1e3`` is 1000. Values that are no text are cast as they are.
     """
-    return F.coalesce(_col(x).try_cast(to), _col(x).try_cast("decimal(38,18)").try_cast(to))
+    value, text = _col(x), _col(x).cast("string")
+    other = ~F.startswith(F.typeof(value), F.lit("string"))
+    plain = F.when(other | text.rlike(WHOLE_TEXT), value.try_cast(to))
+    decimal = F.when(other | text.rlike(DECIMAL_TEXT), value.try_cast("decimal(38,18)"))
+    return F.coalesce(plain, decimal.try_cast(to))
 
 
 def to_int(x: ColumnOrName) -> Column:
