@@ -6,7 +6,7 @@ import base64
 import gzip
 import hashlib
 import io
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import BinaryIO
 
 import pyarrow as pa
@@ -239,9 +239,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return files.select("content").mapInArrow(run, RECORD)
 
 
-def assemble(records: DataFrame) -> DataFrame:
+def assemble(records: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """One nested row per capture: its id, kind, target, date, digest, payload, and the request and
-    metadata records that name it in WARC-Concurrent-To; ``refers_to`` is the record revisited.
+    metadata records that name it in WARC-Concurrent-To; ``refers_to`` is the record revisited, and
+    ``also`` names further columns of the capture's record.
 
     All three sides are joined on the capture's record id. Records that repeat an id, as repeated
     input rows write them, are one; a capture without request or metadata keeps null there.
@@ -267,6 +268,7 @@ def assemble(records: DataFrame) -> DataFrame:
         "sound",
         "request",
         "metadata",
+        *also,
     )
 
 
@@ -278,14 +280,19 @@ def restored(records: DataFrame, id_type: str = "bigint") -> DataFrame:
     that is not the one stated, and on a revisit whose response is missing.
     """
     wrong = F.expr("raise_error(concat('archive record is not sound: ', record_id))")
-    captures = assemble(records).withColumns(
+    # size and digest are taken where the payloads are read, so that joins need not move payloads
+    measured = records.withColumns(
         {
-            "page_id": F.col("metadata.fields").getItem("page-id").cast(id_type),
-            "stated_bytes": F.col("metadata.fields").getItem("payload-bytes").cast("bigint"),
             "own_bytes": F.octet_length("payload").cast("bigint"),
             "own_digest": F.concat(F.lit("sha1:"), payload_digest(F.col("payload"))),
         }
     )
+    captures = assemble(measured, also=("own_bytes", "own_digest")).withColumns(
+        {
+            "page_id": F.col("metadata.fields").getItem("page-id").cast(id_type),
+            "stated_bytes": F.col("metadata.fields").getItem("payload-bytes").cast("bigint"),
+        }
+    )
     revisited = captures.filter("refers_to IS NOT NULL").groupBy("refers_to").agg(F.count("*").alias("n"))
     responses = captures.filter("type = 'response'").select(
         F.col("record_id").alias("refers_to"),

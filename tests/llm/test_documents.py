@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from helpers import plan_text
 from tallytide.llm import queries, warc
 from tallytide.llm.merkle import changed_sections, edit_likeness, fingerprints, leaf_codes, likeness
 from tallytide.llm.secret_scan import scan_secrets, summarize
@@ -100,6 +101,14 @@ def test_the_query_over_all_pages(spark):
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
+def test_archive_payloads_stay_out_of_the_shuffles(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>one"), (2, "v", "<p>one")], "page_id long, url string, html string")
+    out = archive_round_trip(pages)
+    plan = plan_text(out.select("page_id", "payload_bytes", "payload_digest", "type", "refers_to_page"))
+    assert "partial_first(own_digest#" in plan and "partial_first(payload#" not in plan
+    assert sorted(r.payload_bytes for r in out.collect()) == [6, 6]
+
+
 def test_an_altered_archive_fails(spark, tmp_path):
     pages = spark.createDataFrame([(1, "a", "<p>one</p>"), (2, "b", "<p>one</p>"), (3, "c", "two")], "page_id bigint, url string, html string")
     warc.write_archives(pages.coalesce(1), str(tmp_path / "a"))
