@@ -26,6 +26,9 @@ BLOCK = 256
 NODE = 16
 #: Nodes above the blocks have so many children.
 FANOUT = 8
+#: Leaders, and rows of about its size, that a row is compared with before the trees.
+LED = 2
+FOLLOWED = 12
 #: Documents of the sample that tells frequent shingles from rare ones, and shingles kept of it.
 SAMPLED_DOCS = 10_000
 FREQUENT = 50_000
@@ -444,27 +447,56 @@ def _finer(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
 
 
 def _shared(nodes: DataFrame, percent: int) -> DataFrame:
-    """(token, row, at, classes): the prefixes of the classes, for shingles that two of them share and
+    """(token, row, n, at, classes): the prefixes of the classes, for shingles that two of them share and
     one of them has in its short prefix; ``at`` is the place of the shingle in the prefix."""
     n = F.col("n")
     short = n - F.ceil(2 * percent * n / (100 + percent)) + 1
-    posted = nodes.select("row", short.alias("short"), F.posexplode("prefix").alias("at", "token"))
+    posted = nodes.select("row", "n", short.alias("short"), F.posexplode("prefix").alias("at", "token"))
     counts = posted.groupBy("token").agg(
         F.count(F.lit(1)).alias("classes"), F.max(F.col("at") <= F.col("short")).alias("near")
     )
     counts = counts.filter("classes > 1 AND near").select("token", "classes", F.col("classes").alias("n_rows"))
-    found = _join(posted.select("token", "row", "at"), counts, "token", rows="n_rows")
+    found = _join(posted.select("token", "row", "n", "at"), counts, "token", rows="n_rows")
     return written(found, "shared")
 
 
+def _followers(rows: DataFrame) -> DataFrame:
+    """(row, other): a row and the ``FOLLOWED`` before it among those of a shingle, in the order of size.
+
+    Rows are sorted by range, so a shingle of very many rows spreads; only the first of a range have
+    fewer before them.
+    """
+    order = ["token", "n", "row"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((2, 0), np.int64)
+        for batch in batches:
+            seen = np.stack([batch.column(c).to_numpy() for c in ("token", "row")])
+            seen = np.concatenate([held, seen], axis=1)
+            found = []
+            for step in range(1, FOLLOWED + 1):
+                at = np.arange(max(step, held.shape[1]), seen.shape[1])
+                at = at[seen[0, at] == seen[0, at - step]]
+                found.append(seen[1, [at, at - step]])
+            held = seen[:, -FOLLOWED:]
+            pairs = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["row", "other"])
+
+    ranged = rows.select(order).repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.mapInArrow(run, "row bigint, other bigint")
+
+
 def _leaders(shared: DataFrame) -> DataFrame:
     """(u, v): every row with the rows of each of its shingles that share most and least with others,
-    for shingles of more classes than a node holds.
+    and with those of the next smaller sizes, for shingles of more classes than a node holds.
 
-    A text that many near copies were made from has no shingle of its own, so it shares most.
+    A text that many near copies were made from has no shingle of its own, so it shares most. Near
+    copies without such a leader among them are of about one size, and many of them link with each
+    other. A row is paired with the ``LED`` leaders and the ``FOLLOWED`` others that most of its
+    shingles suggest, so pairs are as many as rows.
     """
     weights = shared.groupBy("row").agg(F.sum("classes").alias("weight"), F.count(F.lit(1)).alias("n_rows"))
-    large = shared.filter(F.col("classes") > NODE).select("token", "row")
+    large = shared.filter(F.col("classes") > NODE).select("token", "row", "n")
     weighed = written(_join(large, weights, "row", rows="n_rows"), "weighed")
     order = F.struct("weight", "row")
     ends = weighed.groupBy("token").agg(
@@ -474,9 +506,15 @@ def _leaders(shared: DataFrame) -> DataFrame:
         "token", F.col("most.row").alias("most"), F.col("least.row").alias("least"), "n_rows"
     )
     met = _join(weighed.select("token", "row"), ends, "token", rows="n_rows")
-    met = met.select("row", F.explode(F.array("most", "least")).alias("leader"))
-    pairs = met.filter("row != leader").select(
-        F.least("row", "leader").alias("u"), F.greatest("row", "leader").alias("v")
+    met = met.select("row", F.explode(F.array("most", "least")).alias("other"), F.lit(0).alias("kind"))
+    met = met.unionByName(_followers(weighed).withColumn("kind", F.lit(1))).filter("row != other")
+    votes = met.groupBy("row", "kind", "other").agg((-F.count(F.lit(1))).alias("votes"))
+    ranked = F.sort_array(F.collect_list(F.struct("votes", "other")))
+    most = F.when(F.col("kind") == 0, LED).otherwise(FOLLOWED)
+    chosen = votes.groupBy("row", "kind").agg(ranked.alias("ranked"))
+    chosen = chosen.withColumn("chosen", F.slice("ranked", F.lit(1), most))
+    pairs = chosen.select("row", F.explode("chosen.other").alias("other")).select(
+        F.least("row", "other").alias("u"), F.greatest("row", "other").alias("v")
     )
     return pairs.distinct()
 

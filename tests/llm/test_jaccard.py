@@ -111,3 +111,15 @@ def test_the_query_over_all_documents(spark, folder):
     found = sorted(map(tuple, op13_jaccard(spark, folder).collect()), key=repr)
     assert found == brute(spark.read.parquet(f"{folder}/documents.parquet").collect())
     assert len({r[2] for r in found}) < len(found)
+
+
+def test_rows_are_paired_with_those_of_their_size_and_with_few(spark):
+    # token 1 has 40 rows; row 0 shares 30 more tokens with leaders of their own
+    cells = [(1, row, 100 + row, 40) for row in range(40)]
+    for token in range(2, 32):
+        cells += [(token, 0, 100, 20), *((token, 100 * token + i, 100, 20) for i in range(19))]
+    shared = spark.createDataFrame(cells, "token long, row long, n long, classes long")
+    pairs = {tuple(r) for r in J._leaders(shared.withColumn("at", shared.n * 0)).collect()}
+    assert all((row, row + 1) in pairs for row in range(39))
+    assert all(u < v for u, v in pairs)
+    assert len(pairs) <= len({row for _, row, _, _ in cells}) * (J.LED + J.FOLLOWED)
