@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallytide.llm.common import written
 from tallytide.llm.components import connected_components
 from tallytide.llm.manifest import numbered
-from tallytide.operators.sizing import lookup_join
+from tallytide.operators.sizing import lookup_join, settle
 
 #: Bits of a signature in the trees.
 BITS = 1024
@@ -34,6 +34,8 @@ SAMPLED_DOCS = 10_000
 FREQUENT = 50_000
 #: Sides up to this size are broadcast; most sides here grow with the corpus.
 BROADCAST_BYTES = 16 * 1024 * 1024
+#: Number of others of a row that a batch alone does not tell.
+UNKNOWN = 1 << 32
 MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 _join = partial(lookup_join, limit_bytes=BROADCAST_BYTES)
@@ -295,13 +297,12 @@ def _upper(nodes: DataFrame, parent: str) -> DataFrame:
     return written(found, "nodes")
 
 
-def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
+def _block_pairs(wide: DataFrame, percent: int) -> DataFrame:
     """(token, a, b) with a < b: blocks of one shingle that may hold linked sets of different groups.
 
     Dual traversal from the root of each shingle's tree, one level a round: a pair of nodes that may
     link gives way to the pairs of their children.
     """
-    wide = members.filter(F.col("size") > BLOCK)
     levels = [_upper(wide.select("*", F.col("block").alias("at")), "block")]
     while not levels[-1].filter("at > 0").isEmpty():
         levels.append(_upper(levels[-1], f"at DIV {FANOUT}"))
@@ -329,20 +330,25 @@ def _candidates(members: DataFrame, leaves: DataFrame, percent: int) -> DataFram
     shingle that both sets have: there the shingles before ``at`` are none that they share, so what
     is left of the set bounds the overlap.
     """
-    members = _join(members, leaves, "row").withColumn("block", F.expr(f"pos DIV {BLOCK}"))
-    members = members.withColumn("high", F.col("low") - F.col("at")).drop("at")
+    side = settle(leaves)
     columns = ["token", "a", "b", "side", "pos", "row", "bits", "low", "high", "excess", "first", "last"]
-    own = members.selectExpr("*", "block AS a", "block AS b", "0 AS side").select(columns)
-    rows = own
-    if not members.filter(F.col("size") > BLOCK).isEmpty():
-        pairs = _block_pairs(members, percent)
+
+    def with_leaves(rows: DataFrame) -> DataFrame:
+        rows = _join(rows, side, "row").withColumn("block", F.expr(f"pos DIV {BLOCK}"))
+        return rows.withColumn("high", F.col("low") - F.col("at")).drop("at")
+
+    rows = with_leaves(members).selectExpr("*", "block AS a", "block AS b", "0 AS side").select(columns)
+    large = members.filter(F.col("size") > BLOCK)
+    if not large.isEmpty():
+        wide = with_leaves(large)
+        pairs = _block_pairs(wide, percent)
         sides = [
-            members.join(pairs.withColumn("block", F.col(s)), ["token", "block"])
+            wide.join(pairs.withColumn("block", F.col(s)), ["token", "block"])
             .withColumn("side", F.lit(i))
             .select(columns)
             for i, s in enumerate("ab")
         ]
-        rows = own.unionByName(sides[0]).unionByName(sides[1])
+        rows = rows.unionByName(sides[0]).unionByName(sides[1])
     rows = rows.repartition("token", "a", "b").sortWithinPartitions("token", "a", "b", "side", "pos")
 
     def work(rows: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
@@ -446,22 +452,66 @@ def _finer(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(run, "u bigint, v bigint")
 
 
+def may_overlap(n: np.ndarray, at: np.ndarray, m: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` shingles may overlap enough if the first one that they share stands
+    at places ``at`` and ``place`` of them: those before it are none that they share."""
+    return np.minimum(n - at, m - place) * (100 + percent) >= percent * (n + m)
+
+
+def _matched(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (token, n, row, at) with the number of other sets that have the shingle and may link with
+    theirs by size; rows without one are dropped.
+
+    Rows come sorted by shingle and size. Those of the first and the last shingle of a batch stay, with
+    ``UNKNOWN``: some of their others may be in the next batch or partition.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, n, at = (batch.column(c).to_numpy() for c in ("token", "n", "at"))
+            turn = np.concatenate(([False], token[1:] != token[:-1])).cumsum()
+            by_size = turn * (1 << 32) + n
+            low = -(-percent * n // 100)
+            high = np.minimum((n - at) * (100 + percent) // percent - n, 100 * n // percent)
+            others = np.searchsorted(by_size, turn * (1 << 32) + high, "right")
+            others -= np.searchsorted(by_size, turn * (1 << 32) + low, "left")
+            others -= (low <= n) & (n <= high)
+            others[(turn == 0) | (turn == turn[-1])] = UNKNOWN
+            found = batch.append_column("others", pa.array(others, pa.int64()))
+            yield found.filter(pa.array(others > 0))
+
+    return run
+
+
 def _shared(nodes: DataFrame, percent: int) -> DataFrame:
     """(token, row, n, at, classes): the prefixes of the classes, for shingles that two of them share and
-    one of them has in its short prefix; ``at`` is the place of the shingle in the prefix."""
+    one of them has in its short prefix; ``at`` is the place of the shingle in the prefix, ``classes`` are
+    those of the shingle that may link with the row by size, itself included.
+
+    Prefixes are sorted by range once, so a shingle of very many classes spreads, and only rows that
+    another of their shingle may link with by size and place are counted and joined.
+    """
     n = F.col("n")
+    posted = nodes.select("n", "row", F.posexplode("prefix").alias("at", "token"))
+    order = ["token", "n", "row"]
+    ranged = posted.select(*order, "at").repartitionByRange(*order).sortWithinPartitions(*order)
+    posted = ranged.mapInArrow(_matched(percent), "token bigint, n bigint, row bigint, at int, others bigint")
+    posted = written(posted, "posted")
     short = n - F.ceil(2 * percent * n / (100 + percent)) + 1
-    posted = nodes.select("row", "n", short.alias("short"), F.posexplode("prefix").alias("at", "token"))
     counts = posted.groupBy("token").agg(
-        F.count(F.lit(1)).alias("classes"), F.max(F.col("at") <= F.col("short")).alias("near")
+        F.count(F.lit(1)).alias("classes"), F.max(F.col("at") <= short).alias("near")
     )
     counts = counts.filter("classes > 1 AND near").select("token", "classes", F.col("classes").alias("n_rows"))
-    found = _join(posted.select("token", "row", "n", "at"), counts, "token", rows="n_rows")
-    return written(found, "shared")
+    found = _join(posted, counts, "token", rows="n_rows")
+    classes = F.least("classes", F.col("others") + 1).alias("classes")
+    return written(found.select("token", "row", "n", "at", classes), "shared")
 
 
-def _followers(rows: DataFrame) -> DataFrame:
-    """(row, other): a row and the ``FOLLOWED`` before it among those of a shingle, in the order of size.
+def _followers(rows: DataFrame, percent: int) -> DataFrame:
+    """(row, other): a row and those of the ``FOLLOWED`` before it among those of a shingle, in the order of
+    size, that it may link with by size and place of the shingle.
 
     Rows are sorted by range, so a shingle of very many rows spreads; only the first of a range have
     fewer before them.
@@ -469,45 +519,51 @@ def _followers(rows: DataFrame) -> DataFrame:
     order = ["token", "n", "row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((2, 0), np.int64)
+        held = np.empty((4, 0), np.int64)
         for batch in batches:
-            seen = np.stack([batch.column(c).to_numpy() for c in ("token", "row")])
+            seen = np.stack([batch.column(c).to_numpy() for c in ("token", "row", "n", "at")])
             seen = np.concatenate([held, seen], axis=1)
             found = []
             for step in range(1, FOLLOWED + 1):
                 at = np.arange(max(step, held.shape[1]), seen.shape[1])
                 at = at[seen[0, at] == seen[0, at - step]]
+                at = at[may_overlap(*seen[2:, at], *seen[2:, at - step], percent)]
                 found.append(seen[1, [at, at - step]])
             held = seen[:, -FOLLOWED:]
             pairs = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["row", "other"])
 
-    ranged = rows.select(order).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = rows.select(*order, "at").repartitionByRange(*order).sortWithinPartitions(*order)
     return ranged.mapInArrow(run, "row bigint, other bigint")
 
 
-def _leaders(shared: DataFrame) -> DataFrame:
+def _leaders(shared: DataFrame, percent: int = 90) -> DataFrame:
     """(u, v): every row with the rows of each of its shingles that share most and least with others,
-    and with those of the next smaller sizes, for shingles of more classes than a node holds.
+    and with those of the next smaller sizes, for shingles of more classes that may link with it than a
+    node holds.
 
     A text that many near copies were made from has no shingle of its own, so it shares most. Near
     copies without such a leader among them are of about one size, and many of them link with each
-    other. A row is paired with the ``LED`` leaders and the ``FOLLOWED`` others that most of its
-    shingles suggest, so pairs are as many as rows.
+    other. A shingle suggests only rows that may link by size and its places. A row is paired with the
+    ``LED`` leaders and the ``FOLLOWED`` others that most of its shingles suggest, so pairs are as many
+    as rows.
     """
     weights = shared.groupBy("row").agg(F.sum("classes").alias("weight"), F.count(F.lit(1)).alias("n_rows"))
-    large = shared.filter(F.col("classes") > NODE).select("token", "row", "n")
+    large = shared.filter(F.col("classes") > NODE).select("token", "row", "n", "at")
     weighed = written(_join(large, weights, "row", rows="n_rows"), "weighed")
-    order = F.struct("weight", "row")
+    order = F.struct("weight", "row", "n", "at")
     ends = weighed.groupBy("token").agg(
         F.max(order).alias("most"), F.min(order).alias("least"), F.count(F.lit(1)).alias("n_rows")
     )
-    ends = ends.select(
-        "token", F.col("most.row").alias("most"), F.col("least.row").alias("least"), "n_rows"
-    )
-    met = _join(weighed.select("token", "row"), ends, "token", rows="n_rows")
-    met = met.select("row", F.explode(F.array("most", "least")).alias("other"), F.lit(0).alias("kind"))
-    met = met.unionByName(_followers(weighed).withColumn("kind", F.lit(1))).filter("row != other")
+    kept = [(s, c) for s in ("most", "least") for c in ("row", "n", "at")]
+    ends = ends.select("token", *(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s, c in kept), "n_rows")
+    met = _join(weighed.select("token", "row", "n", "at"), ends, "token", rows="n_rows")
+    both = [F.struct(*(F.col(f"{s}_{c}").alias(c) for k, c in kept if k == s)) for s in ("most", "least")]
+    met = met.select("row", "n", "at", F.explode(F.array(*both)).alias("end"))
+    enough = F.expr(f"least(n - at, end.n - end.at) * {100 + percent} >= {percent} * (n + end.n)")
+    met = met.filter(enough).select("row", F.col("end.row").alias("other"), F.lit(0).alias("kind"))
+    followers = _followers(weighed, percent).withColumn("kind", F.lit(1))
+    met = met.unionByName(followers).filter("row != other")
     votes = met.groupBy("row", "kind", "other").agg((-F.count(F.lit(1))).alias("votes"))
     ranked = F.sort_array(F.collect_list(F.struct("votes", "other")))
     most = F.when(F.col("kind") == 0, LED).otherwise(FOLLOWED)
@@ -570,7 +626,7 @@ def similar_components(
     used = _join(sets.select("row", "n", "bits"), shared.select("row").distinct(), "row", "left_semi")
     leaves = written(_with_excess(used), "leaves")
     coarse = leaves.drop("fine")
-    pairs = _finer(_bounded(_leaders(shared), coarse, percent), leaves, percent)
+    pairs = _finer(_bounded(_leaders(shared, percent), coarse, percent), leaves, percent)
     first = _verified(pairs, sets, docs, words, percent, text)
     groups = written(connected_components(first), "groups")
     grouped = _join(leaves.select("row", "low"), groups.withColumnRenamed("node", "row"), "row", "left")
@@ -586,6 +642,7 @@ def similar_components(
     placed = numbered(members, "token", ["base", "grp", "low", "row"], "placed").select(
         "token", "row", "at", F.col("grp").alias("first"), F.col("grp").alias("last"), "pos", "size"
     )
+    placed = written(placed, "members")
     pairs = _finer(_candidates(placed, coarse, percent), leaves, percent)
     second = _verified(pairs, sets, docs, words, percent, text)
     roots = connected_components(first.unionByName(second)).select(

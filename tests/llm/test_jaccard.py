@@ -123,3 +123,53 @@ def test_rows_are_paired_with_those_of_their_size_and_with_few(spark):
     assert all((row, row + 1) in pairs for row in range(39))
     assert all(u < v for u, v in pairs)
     assert len(pairs) <= len({row for _, row, _, _ in cells}) * (J.LED + J.FOLLOWED)
+
+
+def test_rows_without_one_of_their_size_are_not_joined(spark):
+    # token 7 is in sets of 20, 40 and 80; token 8 in two of one size; token 9 late in both of its sets
+    sets = [(0, 20, [7]), (1, 40, [7]), (2, 80, [7]), (3, 60, [8]), (4, 60, [8])]
+    sets += [(5, 50, [51, 52, 53, 54, 9]), (6, 50, [61, 62, 63, 64, 9])]
+    # the first and the last shingle of a batch stay, whatever their sizes
+    nodes = spark.createDataFrame([(10, 5, [-1]), *sets, (11, 5, [99])], "row long, n long, prefix array<long>")
+    found = {(r.token, r.row) for r in J._shared(nodes.coalesce(1), 90).collect()}
+    assert found == {(8, 3), (8, 4)}
+
+
+def test_no_pair_that_links_is_lost_by_size_and_place(spark):
+    draw = random.Random(8)
+    stems = [[draw.getrandbits(62) for _ in range(draw.choice((20, 21, 60, 200)))] for _ in range(12)]
+    sets = []
+    for _ in range(160):
+        one = list(draw.choice(stems))
+        for _ in range(draw.randrange(len(one) // 8)):
+            one[draw.randrange(len(one))] = draw.getrandbits(62)
+        sets.append(np.unique(np.array(one, np.uint64)))
+    none = (np.empty(0, np.uint64), np.empty(0, np.int64))
+    heads = [J.prefix(x, 90, none).view(np.int64).tolist() for x in sets]
+    rows = [(i, len(x), h) for i, (x, h) in enumerate(zip(sets, heads, strict=True))]
+    shared = J._shared(spark.createDataFrame(rows, "row long, n long, prefix array<long>"), 90).collect()
+    kept = {(r.row, r.token) for r in shared}
+    linked = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if 100 * both >= 90 * (len(a) + len(sets[j]) - both):
+                first = next(t for t in heads[i] if t in heads[j])
+                assert {(i, first), (j, first)} <= kept
+                linked += 1
+    assert linked > 50
+
+
+def test_followers_of_other_sizes_are_not_paired(spark):
+    cells = [(1, row, 20 * (1 + row % 10) ** 2, 0, 40) for row in range(40)]
+    shared = spark.createDataFrame(cells, "token long, row long, n long, at long, classes long")
+    pairs = {tuple(r) for r in J._leaders(shared, 90).collect()}
+    assert pairs and all(u % 10 == v % 10 for u, v in pairs)
+
+
+def test_classes_are_those_of_about_the_size(spark):
+    rows = [(row, 20 * (1 + row % 10) ** 2, [7]) for row in range(40)] + [(90, 5, [-1]), (91, 5, [99])]
+    nodes = spark.createDataFrame(rows, "row long, n long, prefix array<long>")
+    shared = J._shared(nodes.coalesce(1), 90)
+    assert {(r.row, r.classes) for r in shared.collect()} == {(row, 4) for row in range(40)}
+    assert J._leaders(shared, 90).count() == 0
