@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallytide.operators.sizing import shared_dir
 
@@ -31,6 +34,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def driver_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
+    """A small table of rows that the driver holds.
+
+    It goes to Spark as Arrow and is a part of the plan. Rows given as Python objects would be read by
+    Python workers, which stay on the executors long after.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = [pa.array([row[i] for row in rows]) for i in range(len(fields))]
+    return spark.createDataFrame(pa.table(columns, fields.names), fields)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove every table this application wrote; frames that read them are void afterwards."""
     path = spark._jvm.org.apache.hadoop.fs.Path(

@@ -27,25 +27,46 @@ CACHED = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class LogTable(NamedTuple):
+    """Rows of ``logs`` by item: one array for all, since every Python worker holds a copy."""
+
+    rows: dict[str, int]
+    logs: np.ndarray
+
+    def get(self, item: str) -> np.ndarray | None:
+        row = self.rows.get(item)
+        return None if row is None else self.logs[row]
+
+
 class LanguageModel(NamedTuple):
     """Centred log frequencies by language, of words and of n-grams."""
 
     languages: list[str]
-    words: dict[str, tuple[float, ...]]
-    grams: dict[str, tuple[float, ...]]
+    words: LogTable
+    grams: LogTable
 
 
-def _log_table(counts: list[tuple[str, str, int]], languages: list[str]) -> dict:
+def _log_table(counts: list[tuple[str, str, int]], languages: list[str]) -> LogTable:
     place = {name: i for i, name in enumerate(languages)}
-    table: dict[str, np.ndarray] = {}
+    rows: dict[str, int] = {}
+    for _, item, _ in counts:
+        rows.setdefault(item, len(rows))
+    grid = np.full((len(rows), len(languages)), SMOOTHING)
+    if not rows:
+        return LogTable(rows, grid)
     for lang, item, n in counts:
-        table.setdefault(item, np.zeros(len(languages)))[place[lang]] = n
-    if not table:
-        return {}
-    grid = np.array(list(table.values())) + SMOOTHING
+        grid[rows[item], place[lang]] += n
     logs = np.log(grid / grid.sum(axis=0))
     logs -= logs.mean(axis=1, keepdims=True)
-    return {item: tuple(row) for item, row in zip(table, logs.tolist(), strict=True)}
+    return LogTable(rows, logs)
+
+
+def _stacked(tables: list[LogTable]) -> LogTable:
+    """Tables without a common item as one."""
+    rows: dict[str, int] = {}
+    for table in tables:
+        rows |= dict(zip(table.rows, range(len(rows), len(rows) + len(table.rows)), strict=True))
+    return LogTable(rows, np.concatenate([table.logs for table in tables]))
 
 
 def _top(counts: DataFrame, item: str, keep: int) -> list[tuple[str, str, int]]:
@@ -71,7 +92,7 @@ def fit_language(
     shares = rows.groupBy("lang").agg((F.lit(DOCS_PER_LANGUAGE) / F.count("*")).alias("share"))
     languages = {r["lang"]: r["share"] for r in shares.collect()}
     if not languages:
-        return LanguageModel([], {}, {})
+        return LanguageModel([], _log_table([], []), _log_table([], []))
     share = F.coalesce(
         *[F.when(F.col("lang") == F.lit(k), F.lit(v)) for k, v in sorted(languages.items())]
     )
@@ -83,7 +104,7 @@ def fit_language(
         .agg(F.count("*").alias("n"))
     ).persist()
     names = sorted(languages)
-    grams = {}
+    grams = []
     padded = F.concat(F.lit("_"), "word", F.lit("_"))
     for size in range(1, LONGEST_GRAM + 1):
         starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - size + 1, F.lit(1)))
@@ -94,10 +115,9 @@ def fit_language(
             .groupBy("lang", "gram")
             .agg(F.count("*").alias("n"))
         )
-        grams |= _log_table(_top(counted, "gram", GRAMS_PER_SIZE), names)
-    model = LanguageModel(
-        names, _log_table(_top(words.filter("n > 1"), "word", WORDS_PER_LANGUAGE), names), grams
-    )
+        grams.append(_log_table(_top(counted, "gram", GRAMS_PER_SIZE), names))
+    known = _log_table(_top(words.filter("n > 1"), "word", WORDS_PER_LANGUAGE), names)
+    model = LanguageModel(names, known, _stacked(grams))
     words.unpersist()
     return model
 
@@ -114,7 +134,8 @@ class WordScores(dict):
         row = len(self)
         if row == len(self.grid):
             self.grid = np.concatenate((self.grid, np.zeros_like(self.grid)))
-        self.grid[row] = self.model.words.get(word) or self.backoff(word)
+        known = self.model.words.get(word)
+        self.grid[row] = self.backoff(word) if known is None else known
         self[word] = row
         return row
 
@@ -125,7 +146,7 @@ class WordScores(dict):
         for i in range(len(padded)):
             for size in range(min(LONGEST_GRAM, len(padded) - i), 0, -1):
                 known = grams.get(padded[i : i + size])
-                if known:
+                if known is not None:
                     total += known
                     break
         return total / len(padded)

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallytide.llm.common import unit_hash, written
+from tallytide.llm.common import driver_table, unit_hash, written
 from tallytide.operators.sizing import lookup_join
 
 SMOOTHING = 0.5
@@ -24,15 +24,20 @@ CELLS_ON_DRIVER = 100_000
 
 
 def word_count(text: Column) -> Column:
-    """Words between white space, the weight of a document."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")).cast("bigint")
+    """Words between white space, the weight of a document.
+
+    Each word becomes one letter and the letters are counted: ``regexp_count`` would hold all words
+    of a text in memory at once.
+    """
+    inner = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+", "")
+    return F.length(F.regexp_replace(inner, r"\S+\s*", "x")).cast("bigint")
 
 
 def layout_topic(text: Column) -> Column:
     """A coarse topic by form, for corpora without topic labels."""
     text = F.coalesce(text, F.lit(""))
     size = F.greatest(F.length(text), F.lit(1))
-    marks = size - F.length(F.translate(text, "%$#&*|<>{}[]=_~^", ""))
+    marks = F.length(F.regexp_replace(text, r"[^%$#&*|<>{}\[\]=_~^]+", ""))
     return (
         F.when(F.length(F.trim(text)) == 0, "empty")
         .when(F.contains(text, F.lit(" | ")), "table")
@@ -52,7 +57,8 @@ def _targets(
         raw = seen.select(dim, F.when(F.col("tokens") > 0, power).otherwise(0.0).alias("target"))
     else:
         spark = cells.sparkSession
-        stated = spark.createDataFrame(
+        stated = driver_table(
+            spark,
             [(NULL_NAME if k is None else k, float(v)) for k, v in given.items()],
             f"{dim} string, target double",
         )
@@ -201,7 +207,7 @@ def _swept_here(
             break
     swept = [(*r, w) for r, w in zip(rows, weight.tolist(), strict=True)]
     schema = fitted.withColumn("open", F.lit(0.0)).schema
-    return written(fitted.sparkSession.createDataFrame(swept, schema), "bounded")
+    return written(driver_table(fitted.sparkSession, swept, schema), "bounded")
 
 
 def _swept(

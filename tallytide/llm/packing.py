@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tallytide.llm.common import written
+from tallytide.llm.common import driver_table, written
 from tallytide.llm.tokens import by_rank, load, rank_encoder
 
 CAPACITY = 2048
@@ -157,7 +157,8 @@ def _ranked(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
     numbered inside the part, and moved up by the sizes of the parts before.
     """
     spark = pieces.sparkSession
-    parts = spark.createDataFrame(
+    parts = driver_table(
+        spark,
         [(length, max(1, n // RANKED_TOGETHER)) for length, n in counts.items()],
         "length bigint, parts bigint",
     )
@@ -201,7 +202,8 @@ def pack(
     """
     pieces = written(token_pieces(docs, tokenizer, capacity, doc_id, text), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    slots = pieces.sparkSession.createDataFrame(
+    slots = driver_table(
+        pieces.sparkSession,
         plan_best_fit(counts, capacity),
         "of_length bigint, low bigint, high bigint, first bigint, base bigint, per bigint",
     )

@@ -1,11 +1,17 @@
 """Language and toxicity on held-out rows, mixing against its targets."""
 
+import pickle
+import tracemalloc
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallytide.llm import mixing
-from tallytide.llm.language import identify_languages, keep_identified
+from tallytide.llm.common import driver_table
+from tallytide.llm.language import fit_language, identify_languages, keep_identified
 from tallytide.llm.mixing import NULL_NAME, layout_topic, mix, rake, sample_mix, shares, word_count
+from tallytide.llm.packing import pack
+from tallytide.llm.tokens import vocabulary
 from tallytide.llm.toxicity import detect_toxicity
 
 
@@ -107,3 +113,31 @@ def test_odd_rows_are_mixed(odd, empty):
     assert out.filter("probability IS NULL OR sampled IS NULL").count() == 0
     assert sample_mix(odd, dims, word_count(F.col("text"))).columns == odd.columns
     assert mix(empty, dims, word_count(F.col("text"))).count() == 0
+
+
+def test_a_workers_copy_of_the_language_model_is_small(documents):
+    model = fit_language(documents)
+    sent = pickle.dumps(tuple(model))
+    tracemalloc.start()
+    languages, words, grams = pickle.loads(sent)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(words.rows) == len(words.logs) > 1000 and len(grams.rows) == len(grams.logs) > 10_000
+    assert held < (180 + 8 * len(languages)) * (len(words.rows) + len(grams.rows))
+
+
+def test_words_are_counted_without_a_list_of_them(spark, odd):
+    more = spark.createDataFrame([(t,) for t in ("", "  ", " a b ", "\x0b\x0c a\r\nb c\u0085d  e", "\U0001f600 \U0001f600%|[]^", "%$#&*|<>{}[]=_~^ x")], "text string")
+    texts = odd.select("text").unionAll(more)
+    wanted = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0))
+    assert texts.filter(word_count(F.col("text")) != wanted).count() == 0
+    assert [r[0] for r in more.select(layout_topic(F.col("text"))).collect()] == ["empty", "empty", "short", "short", "markup", "markup"]
+    assert "extract_all" not in texts.select(word_count(F.col("text")))._jdf.queryExecution().toString()
+
+
+def test_rows_of_the_driver_need_no_python_workers(spark, documents):
+    held = driver_table(spark, [("a", 1, 0.5), (None, 2, None)], "s string, n bigint, x double")
+    assert [tuple(r) for r in held.collect()] == [("a", 1, 0.5), (None, 2, None)]
+    assert driver_table(spark, [], "s string, n bigint").collect() == []
+    assert "ExistingRDD" not in held._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in pack(documents.limit(50), vocabulary("byte_bpe_50k.json"))._jdf.queryExecution().toString()
