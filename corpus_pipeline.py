@@ -17,9 +17,19 @@ from tallytide.llm.tokens import vocabulary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Bytes of text that a Python worker gets at once. Spark's default is 64 MB, which the worker, its
+#: copy of the rows it keeps and the buffers of the executor each hold. A longer text goes alone.
+BATCH_BYTES = "2m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the size of Arrow batches for the session; stages are run after they are returned."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language that can be told go."""
+    small_batches(spark)
     return keep_identified(docs)
 
 
@@ -30,6 +40,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate group the row with the smallest id stays."""
+    small_batches(spark)
     return drop_near_duplicates(docs, words=4, max_bits=4)
 
 
@@ -41,6 +52,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048 ids."""
+    small_batches(spark)
     return pack(docs, vocabulary("byte_bpe_50k.json"), 2048)
 
 

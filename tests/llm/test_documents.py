@@ -7,6 +7,7 @@ import hashlib
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,3 +211,16 @@ def test_exact_dedup_matches_sql(spark):
         ours = queries.QUERIES[name](spark, SF)
         expected = duck.execute(f"SELECT {', '.join(ours.columns)} FROM ({sql})").fetchall()
         assert sorted(map(tuple, ours.collect())) == sorted(expected)
+
+
+def test_texts_reach_python_workers_in_small_batches(spark, empty):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("ab "), 3000).alias("text"))
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+    before = spark.conf.get(name)
+    try:
+        corpus_pipeline.language_id(spark, empty, "")
+        found = [r.n for r in docs.mapInArrow(sizes, "n bigint").collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sum(found) > 18_000_000 and max(found) < 3_000_000
